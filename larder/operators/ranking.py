@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from larder.functions.text import as_column
 from larder.sources.scratch import store
 
+WINDOW_ROWS = 2_000_000  # largest group one task sorts
+
 _STEP_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition below bit 33
 
 
@@ -53,17 +55,43 @@ def rank_in_group(
     order: Sequence[Column],
     rank: str,
     skip_null_groups: bool = False,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Row number of every row within its group, as a long; a NULL key is a group too.
 
-    A window would gather each group into one task.  Here rows are range-partitioned by
-    group and order, so a large group spans several tasks; each row notes its place in
-    its partition, and two small tables turn places into ranks: rows before each
-    partition (one row per partition) and the first position of each group.  The sorted
-    rows are stored once, since a second evaluation could draw other range bounds.
+    A window gathers each group into one task, so it is used only when the largest group
+    is known to have at most ``window_rows`` rows; larger groups are ranked across
+    tasks.  The sizes take one pass over the key columns: give a stored frame, or one
+    that is cheap to derive.
     """
     if skip_null_groups:
         df = df.dropna(subset=list(keys))
+    sizes = df.groupBy(*(as_column(k) for k in keys)).agg(F.count("*").alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if largest <= window_rows:
+        window = Window.partitionBy(*(as_column(k) for k in keys)).orderBy(*order)
+        return df.withColumn(rank, F.row_number().over(window).cast("bigint"))
+    return _rank_across_tasks(df, keys, order, rank)
+
+
+def rank_overall(
+    df: DataFrame, order: Sequence[Column], rank: str, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Row number over the whole frame, as a long."""
+    return rank_in_group(df, [], order, rank, window_rows=window_rows)
+
+
+def _rank_across_tasks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str
+) -> DataFrame:
+    """Ranks without gathering a group.
+
+    Rows are range-partitioned by group and order, so a large group spans several tasks,
+    and each row notes its place in its partition.  Two small tables turn places into
+    ranks: the rows before each partition, one row per partition, and the first position
+    of each group.  The sorted rows are stored once, since a second evaluation could
+    draw other range bounds.
+    """
     columns = df.columns
     groups = [as_column(k).asc_nulls_first() for k in keys]
     placed = store(
@@ -72,7 +100,7 @@ def rank_in_group(
         .withColumn("_id", F.monotonically_increasing_id()),
         "ranked",
     ).select(
-        "*",
+        *(as_column(c) for c in columns),
         F.shiftright("_id", _STEP_BITS).alias("_part"),
         F.col("_id").bitwiseAND((1 << _STEP_BITS) - 1).alias("_step"),
     )
@@ -85,8 +113,9 @@ def rank_in_group(
     )
     positions = placed.join(starts, "_part").withColumn("_position", F.col("_before") + F.col("_step"))
 
+    kept = [as_column(c) for c in columns]
     if not keys:
-        return positions.select(*columns, (F.col("_position") + 1).alias(rank))
+        return positions.select(*kept, (F.col("_position") + 1).alias(rank))
     names = [f"_group{i}" for i in range(len(keys))]
     firsts = store(
         positions.groupBy(*(as_column(k).alias(n) for k, n in zip(keys, names)))
@@ -95,10 +124,5 @@ def rank_in_group(
     )
     same_group = [as_column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     return positions.join(firsts, same_group).select(
-        *columns, (F.col("_position") - F.col("_first") + 1).alias(rank)
+        *kept, (F.col("_position") - F.col("_first") + 1).alias(rank)
     )
-
-
-def rank_overall(df: DataFrame, order: Sequence[Column], rank: str) -> DataFrame:
-    """Row number over the whole frame, without gathering it into one task."""
-    return rank_in_group(df, [], order, rank)

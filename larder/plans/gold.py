@@ -24,6 +24,7 @@ from larder.schemas import MART_LOOKUP_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS, TO
 from larder.sources.export import export_csv
 from larder.sources.jdbc import Database, write_jdbc
 from larder.sources.lake import write_clustered
+from larder.sources.scratch import store
 
 
 def sugar_mart(enriched: DataFrame, n: int = TOP_PER_CATEGORY) -> DataFrame:
@@ -66,13 +67,19 @@ def grade_mart(enriched: DataFrame) -> DataFrame:
 
 
 def additive_mart(enriched: DataFrame) -> DataFrame:
-    """Additives by frequency; the percentage is of all enriched rows, tagged or not."""
-    frequency = item_frequency(
-        additive_items(enriched, "additive_tag"),
-        "additive_tag",
-        "main_category",
-        "total_occurrences",
-        "nb_distinct_categories",
+    """Additives by frequency; the percentage is of all enriched rows, tagged or not.
+
+    The frequencies are stored before they are ranked, so they are counted up once.
+    """
+    frequency = store(
+        item_frequency(
+            additive_items(enriched, "additive_tag"),
+            "additive_tag",
+            "main_category",
+            "total_occurrences",
+            "nb_distinct_categories",
+        ),
+        "additive_frequency",
     )
     ranked = rank_overall(frequency, ordering("-total_occurrences", "additive_tag"), "rank_overall")
     return with_percent_of_rows(
@@ -84,13 +91,16 @@ def additive_mart(enriched: DataFrame) -> DataFrame:
 
 
 def feature_mart(enriched: DataFrame) -> DataFrame:
-    """One row of features and target grade per product, for its first country by name."""
+    """One row of features and target grade per product, for its first country by name.
+
+    A product's rows differ in their country only, so the country settles the choice.
+    """
     names = MART_SCHEMAS["dm_ml_nutriscore_prediction"].names
     features = project(
         enriched.where(F.col("nutrition_grade_fr").isNotNull()),
         {name: lenient_int(name) if name == "additives_n" else name for name in names},
     )
-    return keep_one(features, ["code"], total_order(features, "country_normalized"))
+    return keep_one(features, ["code"], ordering("country_normalized"))
 
 
 def mart_builders(top_n: int = TOP_PER_CATEGORY) -> dict[str, Callable[[DataFrame], DataFrame]]:

@@ -14,7 +14,7 @@ from larder.operators.aggregates import group_summary, item_frequency
 from larder.operators.joins import join_listed_dimension, keep_matched
 from larder.operators.predicates import all_of, at_least_or_null, one_of, within_or_null
 from larder.operators.quality import Rule, apply_rules
-from larder.operators.ranking import keep_one, rank_in_group, total_order
+from larder.operators.ranking import keep_one, ordering, rank_in_group, total_order
 from larder.operators.shape import (
     drop_if_present,
     explode_items,
@@ -101,10 +101,15 @@ def enrich(products: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def with_sugar_rank(enriched: DataFrame, skip_null_groups: bool = False) -> DataFrame:
+    """Rank of every enriched row in its category by sugar.
+
+    Codes are unique in the cleaned products, so rows still tied after the country are
+    repeats of one listing and interchangeable.
+    """
     return rank_in_group(
         enriched,
         ["main_category"],
-        total_order(enriched, "-sugars_100g", "code"),
+        ordering("-sugars_100g", "code", "country_single"),
         "sugar_rank_in_category",
         skip_null_groups,
     )

@@ -39,6 +39,7 @@ from larder.sources.scratch import new_path, store
 from larder.workload import stages
 from larder.workload.inputs import (
     INGEST_DATE,
+    lineitems,
     raw_countries,
     raw_measures,
     raw_products,
@@ -463,7 +464,7 @@ _PRICE_TEXT = (
         from (select *, {_PRICE_TEXT} as price from lineitem)""",
 )
 def decimal_comma_to_double(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem").select(
+    lineitem = lineitems(spark, sf_dir).select(
         "l_orderkey",
         "l_linenumber",
         F.expr(_PRICE_TEXT).alias("price"),
@@ -713,12 +714,16 @@ def mean_of_means(spark, sf_dir):
        from lineitem""",
 )
 def rank_in_group(spark, sf_dir):
-    """Three groups, each a third of all rows."""
+    """Three groups, each a third of all rows and too large for one task."""
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice"
     )
     return ranking.rank_in_group(
-        lineitem, ["l_returnflag"], total_order(lineitem, "-l_extendedprice"), "price_rank"
+        lineitem,
+        ["l_returnflag"],
+        total_order(lineitem, "-l_extendedprice"),
+        "price_rank",
+        window_rows=1_000,
     ).drop("l_suppkey")
 
 
@@ -744,7 +749,7 @@ def top_n_per_group(spark, sf_dir):
 )
 def rank_overall(spark, sf_dir):
     sold = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("sold"))
-    return ranking.rank_overall(sold, by("-sold", "l_partkey"), "place")
+    return ranking.rank_overall(store(sold, "sold"), by("-sold", "l_partkey"), "place", window_rows=1_000)
 
 
 @registered("additive_ranking", "select * from mart_additive")
