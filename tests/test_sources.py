@@ -4,6 +4,7 @@ import golden_data
 import pytest
 from pyspark.sql import functions as F
 
+from larder import __main__ as cli
 from larder.operators.shape import stamp_date
 from larder.plans import bronze, gold, silver
 from larder.plans.runner import run_steps
@@ -152,6 +153,35 @@ def test_database_properties_hide_the_password():
     assert "hidden" not in repr(database)
 
 
-def test_scratch_follows_the_session_setting(spark, setting, tmp_path):
-    setting("spark.checkpoint.dir", str(tmp_path))
-    assert scratch.new_path(spark, "x").startswith(f"{tmp_path}/larder/")
+def test_scratch_follows_the_session_setting(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch.new_path(spark, "x")
+    if root:
+        assert path.startswith(f"{root}/larder/{spark.sparkContext.applicationId}/x-")
+    assert scratch.new_path(spark, "x") != path
+
+
+def test_command_line_runs_the_jobs_in_order(spark, tmp_path):
+    products, countries = golden_data.write_files(str(tmp_path))
+    database = scratch.new_path(spark, "cli").rsplit("/", 1)[-1].replace("-", "_")
+    ensure_database(spark, database, scratch.new_path(spark, "cli_db"))
+
+    def job(*arguments):
+        return cli.run(spark, cli.parse([str(a) for a in arguments]))
+
+    dated = ["--date", "2024-05-14"]
+    report = job("ingest", "--bronze", tmp_path / "b", "--products", products,
+                 "--countries", countries, *dated)
+    assert list(report.results) == ["products", "countries"]
+    assert sorted(report.errors) == ["volume of countries", "volume of products"]
+    report = job("refine", "--bronze", tmp_path / "b", "--silver", tmp_path / "s",
+                 "--database", database, *dated)
+    assert report.ok and report.results["silver"]["products_enriched"] == 10
+    report = job("marts", "--database", database, "--gold", tmp_path / "g", "--top", 2)
+    assert report.ok and report.results["dm_sugar_by_category"] == 5
+    report = job("export", "--gold", tmp_path / "g", "--output", tmp_path / "o",
+                 "--only", "dm_additives_analysis")
+    assert report.results == {"dm_additives_analysis": 4}
+    missing = job("ingest", "--bronze", tmp_path / "b2", "--products", tmp_path / "none.tsv",
+                  "--source", "products", *dated)
+    assert "products" in missing.errors and not missing.results
