@@ -15,6 +15,8 @@ from larder.sources.scratch import store
 
 WINDOW_ROWS = 2_000_000  # largest group one task sorts
 
+GROUP_LIMIT_ROWS = 1_000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+
 _STEP_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition below bit 33
 
 
@@ -37,9 +39,13 @@ def top_n_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group, with their rank.
 
-    Spark plans the rank filter as a group limit that also runs before the shuffle, so
-    a task sends at most ``n`` rows per key however frequent the key is.
+    Up to ``GROUP_LIMIT_ROWS`` Spark plans the rank filter as a group limit that also runs
+    before the shuffle, so a task sends at most ``n`` rows per key however frequent the
+    key is.  Larger cuts are taken from a full ranking that splits large groups.
     """
+    if n > GROUP_LIMIT_ROWS:
+        ranked = rank_in_group(df, keys, order, rank).where(F.col(rank) <= n)
+        return ranked.withColumn(rank, F.col(rank).cast("int"))
     window = Window.partitionBy(*(as_column(k) for k in keys)).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 

@@ -119,6 +119,15 @@ def test_top_n_keeps_ranks_dense(skewed):
     assert all(sorted(p) == [1, 2, 3, 4] for p in places.values())
 
 
+def test_large_cuts_equal_small_ones(skewed):
+    order = ordering("-v", "id")
+    large = top_n_per_group(skewed, ["g"], order, 1500, "r")
+    small = top_n_per_group(skewed, ["g"], order, 900, "r")
+    assert large.dtypes == small.dtypes
+    assert large.where("r <= 900").exceptAll(small).count() == 0
+    assert large.where("g = 'hot'").count() == 1500
+
+
 def test_funnel_adds_up_and_matches_the_cleaning(spark):
     from larder.workload import stages
 

@@ -1,4 +1,5 @@
 from datetime import date
+from unittest.mock import MagicMock
 
 import golden_data
 import pytest
@@ -12,7 +13,7 @@ from larder.schemas import MART_SCHEMAS, MART_SORT_KEYS
 from larder.sources import scratch
 from larder.sources.delimited import read_text_table
 from larder.sources.export import export_csv
-from larder.sources.jdbc import Database
+from larder.sources.jdbc import Database, read_jdbc, write_jdbc
 from larder.sources.lake import read_dated, write_clustered, write_dated
 from larder.sources.tables import ensure_database, list_databases, tables_exist
 
@@ -153,6 +154,23 @@ def test_database_properties_hide_the_password():
     assert "hidden" not in repr(database)
 
 
+def test_jdbc_calls():
+    """No database is at hand: only what is handed to Spark is checked."""
+    database = Database("jdbc:x", "some.Driver", "writer", "hidden", batch_rows=500)
+    frame, session = MagicMock(), MagicMock()
+    write_jdbc(frame, database, "t", connections=4)
+    frame.write.mode.assert_called_once_with("overwrite")
+    writer = frame.write.mode.return_value.option
+    writer.assert_called_once_with("numPartitions", 4)
+    writer.return_value.jdbc.assert_called_once_with(
+        url="jdbc:x", table="t", properties=database.properties()
+    )
+    read_jdbc(session, database, "t", slices=["k < 10", "k >= 10"])
+    session.read.jdbc.assert_called_once_with(
+        "jdbc:x", "t", predicates=["k < 10", "k >= 10"], properties=database.properties()
+    )
+
+
 def test_scratch_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch.new_path(spark, "x")
