@@ -2,6 +2,7 @@
 
     ingest  raw files to bronze, then the volume gate
     refine  bronze of one date to silver
+    report  what a refined date rejected, matched and holds most of
     marts   silver to gold, all marts or some
     export  gold to ordered CSV
 
@@ -22,6 +23,7 @@ from larder.functions.dates import parse_iso_date
 from larder.plans import bronze, gold, silver
 from larder.plans.runner import RunReport, run_steps
 from larder.schemas import INGEST_SAMPLE_ROWS, MART_SCHEMAS, REFINE_SAMPLE_ROWS, TOP_PER_CATEGORY
+from larder.sources.lake import read_dated
 
 log = logging.getLogger("larder")
 
@@ -41,6 +43,10 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     refine.add_argument("--silver", required=True, help="silver root folder")
     refine.add_argument("--database", default="silver")
 
+    report = jobs.add_parser("report")
+    report.add_argument("--bronze", required=True)
+    report.add_argument("--database", default="silver")
+
     marts = jobs.add_parser("marts")
     marts.add_argument("--database", default="silver")
     marts.add_argument("--gold", required=True, help="gold root folder")
@@ -52,8 +58,9 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     export.add_argument("--output", required=True)
     export.add_argument("--only", nargs="+", choices=list(MART_SCHEMAS))
 
-    for job in (ingest, refine):
+    for job in (ingest, refine, report):
         job.add_argument("--date", type=parse_iso_date, default=date.today(), help="YYYY-MM-DD")
+    for job in (ingest, refine):
         job.add_argument("--sample", action="store_true", help="development run on few rows")
     return parser.parse_args(arguments)
 
@@ -75,6 +82,13 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunReport:
                 )
             }
         )
+    if options.job == "report":
+        tables = silver.quality_report(
+            read_dated(spark, f"{options.bronze}/products", options.date),
+            spark.table(f"{options.database}.products_enriched"),
+        )
+        steps = {name: lambda df=df: [row.asDict() for row in df.collect()] for name, df in tables.items()}
+        return run_steps(steps)
     if options.job == "marts":
         enriched = spark.table(f"{options.database}.products_enriched")
         return gold.publish_marts(enriched, options.gold, options.only, top_n=options.top)

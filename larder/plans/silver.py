@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from larder.functions import comma_decimal, is_present, lenient_long, normal_lower, normal_upper
 from larder.functions.text import as_column
 from larder.operators.aggregates import group_summary, item_frequency
-from larder.operators.joins import join_listed_dimension, keep_matched
+from larder.operators.joins import join_listed_dimension, keep_matched, match_rate
+from larder.operators.ordering import top_k
 from larder.operators.predicates import all_of, at_least_or_null, one_of, within_or_null
-from larder.operators.quality import Rule, apply_rules
+from larder.operators.quality import Rule, apply_rules, rule_funnel
 from larder.operators.ranking import keep_one, ordering, rank_in_group, total_order
 from larder.operators.shape import (
     drop_if_present,
@@ -31,6 +32,7 @@ from larder.schemas import (
     GRADES,
     PRODUCT_RENAMES,
     SILVER_TABLES,
+    TOP_PER_CATEGORY,
 )
 from larder.sources.lake import read_dated
 from larder.sources.tables import ensure_database, publish_twice
@@ -152,6 +154,29 @@ def additive_profile(enriched: DataFrame) -> DataFrame:
     )
 
 
+def quality_report(bronze: DataFrame, enriched: DataFrame, top_n: int = TOP_PER_CATEGORY) -> dict[str, DataFrame]:
+    """Small tables that describe a run: what was rejected, matched and found most.
+
+    ``enriched`` is the stored table with its sugar rank.
+    """
+    ranked = enriched.where(
+        (F.col("sugar_rank_in_category") <= top_n) & F.col("sugars_100g").isNotNull()
+    ).select("main_category", "product_name", "sugars_100g", "sugar_rank_in_category")
+    return {
+        "rejected rows": rule_funnel(bronze, product_rules(), ["code"]),
+        "countries matched": match_rate(enriched, "country_normalized"),
+        "largest categories": top_k(
+            category_profile(enriched), ordering("-product_count", "main_category"), 5
+        ),
+        "most frequent additives": top_k(
+            additive_profile(enriched), ordering("-occurrence", "additive"), 10
+        ),
+        "most sugary products": top_k(
+            ranked, ordering("main_category", "sugar_rank_in_category"), 10
+        ),
+    }
+
+
 def refine(
     spark: SparkSession,
     bronze_products_path: str,

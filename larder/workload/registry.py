@@ -165,8 +165,8 @@ def scan_partition_date(spark, sf_dir):
 @registered(
     "partition_overwrite",
     f"""select year, month, day, count(*) as orders,
-               sum(cast(o_totalprice + case when year = 1997 and month = 4 then 1 else 0 end
-                        as decimal(18,2))) as price_total
+               cast(sum(cast(o_totalprice + case when year = 1997 and month = 4 then 1 else 0 end
+                             as decimal(18,2))) as decimal(28,2)) as price_total
         from ({_ORDERS_SQL}) group by all""",
 )
 def partition_overwrite(spark, sf_dir):
@@ -232,9 +232,9 @@ def sample_first_n(spark, sf_dir):
 @registered(
     "dual_write_roundtrip",
     """select 'path' as copy, 2024 as year, 5 as month, 13 as day, count(*) as rows,
-              sum(c_custkey) as keys from customer
-       union all select 'path', 2024, 5, 14, count(*), sum(c_custkey + 1) from customer
-       union all select 'table', 2024, 5, 14, count(*), sum(c_custkey + 1) from customer""",
+              cast(sum(c_custkey) as bigint) as keys from customer
+       union all select 'path', 2024, 5, 14, count(*), cast(sum(c_custkey + 1) as bigint) from customer
+       union all select 'table', 2024, 5, 14, count(*), cast(sum(c_custkey + 1) as bigint) from customer""",
 )
 def dual_write_roundtrip(spark, sf_dir):
     """Two runs: the path keeps both dates, the table the last one."""
@@ -248,7 +248,7 @@ def dual_write_roundtrip(spark, sf_dir):
     def summary(copy: str, df: DataFrame) -> DataFrame:
         return (
             df.groupBy(*DATE_COLUMNS)
-            .agg(F.count("*").alias("rows"), F.sum("c_custkey").cast("decimal(38,0)").alias("keys"))
+            .agg(F.count("*").alias("rows"), F.sum("c_custkey").alias("keys"))
             .withColumn("copy", F.lit(copy))
         )
 
@@ -897,6 +897,27 @@ def bronze_products(spark, sf_dir):
     return lake.read_dated(spark, target, INGEST_DATE)
 
 
+@registered(
+    "ingest_metrics",
+    """select 'products' as source, count(*) as rows_read, count(*) as rows_written from raw_products
+       union all select 'countries', count(*), count(*) from raw_countries""",
+)
+def ingest_metrics(spark, sf_dir):
+    """What the ingest jobs report about the files they wrote."""
+    reports = {
+        "products": bronze.ingest_products(
+            spark, _raw_product_file(spark, sf_dir), new_path(spark, "metrics_products"), INGEST_DATE
+        ),
+        "countries": bronze.ingest_countries(
+            spark, _raw_country_file(spark, sf_dir), new_path(spark, "metrics_countries"), INGEST_DATE
+        ),
+    }
+    return spark.createDataFrame(
+        [(name, r["rows_read"], r["rows_written"]) for name, r in reports.items()],
+        "source string, rows_read bigint, rows_written bigint",
+    )
+
+
 @registered(
     "bronze_countries",
     'select "Country" as country, "Region" as region, cast("Population" as bigint) as population,'

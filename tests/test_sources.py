@@ -195,6 +195,12 @@ def test_command_line_runs_the_jobs_in_order(spark, tmp_path):
     report = job("refine", "--bronze", tmp_path / "b", "--silver", tmp_path / "s",
                  "--database", database, *dated)
     assert report.ok and report.results["silver"]["products_enriched"] == 10
+    report = job("report", "--bronze", tmp_path / "b", "--database", database, *dated)
+    assert report.ok and report.results["countries matched"][0]["matched"] == 8
+    assert [r["removed"] for r in report.results["rejected rows"]] == [1, 2, 2, 1]
+    assert report.results["most frequent additives"][0]["additive"] == "en:e322"
+    # Ten product-country rows, one of them without sugar.
+    assert len(report.results["most sugary products"]) == 9
     report = job("marts", "--database", database, "--gold", tmp_path / "g", "--top", 2)
     assert report.ok and report.results["dm_sugar_by_category"] == 5
     report = job("export", "--gold", tmp_path / "g", "--output", tmp_path / "o",
