@@ -7,6 +7,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.functions.text import as_column
+from larder.operators.shape import stamp_date
 from larder.sources.lake import read_dated, write_dated
 
 
@@ -33,13 +35,17 @@ def overwrite_table(df: DataFrame, name: str) -> None:
 
 
 def publish_twice(df: DataFrame, path: str, table: str, ingest_date: date) -> int:
-    """Write one ingest date to the dated path and, alone, to the managed table.
+    """Publish all rows of ``df`` under ``ingest_date``: to the dated path, and to the table.
 
-    The path keeps every date, the table holds this one.  The table is filled from the
-    files just written: ``df`` is computed once and both copies hold the same rows.
-    Returns the rows written, counted from the Parquet footers.
+    The path keeps every date, the table holds this one alone.  The date goes in as
+    constants, which spares the sort by partition columns before the write.  The table
+    is filled from the files just written, so ``df`` is computed once and both copies hold
+    the same rows.  Returns the rows written, counted from the Parquet footers.
     """
-    write_dated(df, path)
-    written = read_dated(df.sparkSession, path, ingest_date).select(*df.columns)
+    stamped = stamp_date(df, ingest_date)
+    write_dated(stamped, path)
+    written = read_dated(df.sparkSession, path, ingest_date).select(
+        *(as_column(c) for c in stamped.columns)
+    )
     overwrite_table(written, table)
     return written.count()
