@@ -16,10 +16,10 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 LINE_DEDUP = r"""
 WITH numbered AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS ln
   FROM documents),
 worded AS (
-  SELECT doc_id, line, at, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS p
+  SELECT doc_id, line, ln, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p
   FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 runs AS (
   SELECT doc_id, p, md5(line) || md5(lead(line, 1) OVER w) || md5(lead(line, 2) OVER w) AS run
@@ -29,11 +29,11 @@ later AS (
     SELECT doc_id, p, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS nth
     FROM runs WHERE run IS NOT NULL) WHERE nth > 1),
 gone AS (
-  SELECT DISTINCT l.doc_id, w.at
+  SELECT DISTINCT l.doc_id, w.ln
   FROM later l JOIN worded w ON w.doc_id = l.doc_id AND w.p BETWEEN l.p AND l.p + 2)
-SELECT n.doc_id, count(*) AS n_lines, count(g.at) AS n_removed,
-       sha256(coalesce(string_agg(n.line, chr(10) ORDER BY n.at) FILTER (g.at IS NULL), ''))
+SELECT n.doc_id, count(*) AS n_lines, count(g.ln) AS n_removed,
+       sha256(coalesce(string_agg(n.line, chr(10) ORDER BY n.ln) FILTER (g.ln IS NULL), ''))
          AS kept_sha256
-FROM numbered n LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.at = n.at
+FROM numbered n LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.ln = n.ln
 GROUP BY n.doc_id
 """
