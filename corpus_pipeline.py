@@ -4,30 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import line_dedup, mixing
-from larder.llm.tables import read_table, stored
+from larder.llm import bpe, line_dedup, minhash, mixing, toxicity
+from larder.llm.queries import RANKS
+from larder.llm.tables import read_table, ship_package, stored
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return bpe.encoding_report(docs, RANKS, public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("line dedup", drop_repeated_lines),
+    ("near dedup", drop_near_copies),
     ("mixing", mix_sources),
+    ("encoding", encode),
 ]
 
-#: Training and sampling stages have no SQL form; tests hold each stage against brute force.
+#: Training and sampling stages have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document of the mix: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

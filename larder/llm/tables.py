@@ -8,18 +8,41 @@ extra columns may have any name.  A null text is an empty text.
 from __future__ import annotations
 
 import gc
+import os
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import larder
 from larder.sources.scratch import store
 
 #: A word is a run of characters other than space, tab and the four other line breaks.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the application, once, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    handle, path = tempfile.mkstemp(prefix="larder-", suffix=".zip")
+    root = Path(larder.__file__).parent
+    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w") as package:
+        for module in sorted(root.rglob("*.py")):
+            package.write(module, module.relative_to(root.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +66,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     The shuffles that made it are no longer needed then; collecting the driver's garbage
     lets Spark delete their files at once instead of at some later time.
     """
+    ship_package(df.sparkSession)
     out = store(df, label)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
