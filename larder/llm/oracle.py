@@ -37,3 +37,57 @@ SELECT n.doc_id, count(*) AS n_lines, count(g.ln) AS n_removed,
 FROM numbered n LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.ln = n.ln
 GROUP BY n.doc_id
 """
+
+#: Groups of documents whose sets of three-word shingles are 85 percent alike, by all pairs
+#: that share a shingle.
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), i -> array_to_string(ws[i:i + 2], ' ')) END) AS sh
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id,
+       r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+#: All windows of 200 bytes, as 400 hexadecimal digits, compared with each other.
+SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n
+  FROM documents),
+wins AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS p FROM d)),
+twice AS (
+  SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM wins) WHERE c > 1),
+runs AS (
+  SELECT doc_id, min(p) AS s, max(p) + 200 AS e FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM (
+      SELECT *, CAST(p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200, -1) AS INT)
+        AS fresh FROM twice)) GROUP BY doc_id, g),
+cuts AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS b FROM runs
+  UNION ALL SELECT doc_id, max(e), NULL FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT c.doc_id, string_agg(substr(d.h, 2 * a + 1, 2 * (coalesce(b, d.n) - a)), '' ORDER BY a) AS k
+  FROM cuts c JOIN d ON d.doc_id = c.doc_id GROUP BY c.doc_id),
+total AS (SELECT doc_id, sum(e - s) AS gone, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(t.gone, 0) AS BIGINT) AS n_removed,
+       coalesce(t.spans, 0) AS n_spans, sha256(unhex(coalesce(k.k, d.h))) AS kept_sha256
+FROM d LEFT JOIN total t ON t.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

@@ -90,4 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": oracle.EXACT_DEDUP,
     "op2_line_dedup": oracle.LINE_DEDUP,
+    "op4_near_dedup": oracle.NEAR_DEDUP,
+    "op10_suffix_dedup": oracle.SUFFIX_DEDUP,
 }

@@ -35,11 +35,12 @@ from larder.llm.nptext import Chunk, Hasher, chunks, words
 LENGTHS, SLACK, DECAY = (3, 4), 2, 0.7
 #: Labelled documents of either kind and bytes of each that are learnt from.
 SAMPLE, SAMPLE_BYTES = 2_500, 16_384
-LANDMARKS, ROUNDS, STEPS = 160, 5, 200
-NEGATIVES, MARGIN_COST = 30_000, 20.0
+LANDMARKS, ROUNDS, STEPS = 160, 4, 120
+NEGATIVES, WITNESSES, MARGIN_COST = 15_000, 12, 20.0
 
 _BITS = 5
-_TABLE = 1 << 20
+#: Places of the subsequences of 4 letters, then of 3.
+_TABLE = (1 << 4 * _BITS) + (1 << 3 * _BITS)
 _class = np.zeros(256, np.int64)
 for _c in range(26):
     _class[[ord("a") + _c, ord("A") + _c]] = _c + 1
@@ -62,7 +63,7 @@ _PATTERNS = _patterns()
 
 
 def _codes(letters: np.ndarray, word: np.ndarray, offsets: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(start, table place) of the subsequences of ``offsets`` within words, of letters only."""
+    """(start, table place) of the subsequences of ``offsets`` within words."""
     span = offsets[-1]
     n = len(letters) - span
     if n <= 0:
@@ -71,18 +72,24 @@ def _codes(letters: np.ndarray, word: np.ndarray, offsets: tuple[int, ...]) -> t
     code = np.zeros(n, np.int64)
     for offset in offsets:
         part = letters[offset : offset + n]
-        fits &= part > 0
         code = (code << _BITS) | part
     starts = np.flatnonzero(fits)
     code = code[starts]
     if len(offsets) == 3:
-        code = code * 40503 + 12345
-    return starts, code % _TABLE
+        code += 1 << 4 * _BITS
+    return starts, code
+
+
+def _letters_only(data: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters without the marks and digits between them, and the word of each."""
+    letters = _class[data]
+    kept = letters > 0
+    return letters[kept], word[kept]
 
 
 def _laid_out(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(vocabulary), np.uint8)
-    return _class[data], np.repeat(np.arange(len(vocabulary)), [len(w) for w in vocabulary])
+    return _letters_only(data, np.repeat(np.arange(len(vocabulary)), [len(w) for w in vocabulary]))
 
 
 def _norms(lengths: np.ndarray) -> np.ndarray:
@@ -111,7 +118,7 @@ class Kernel:
         self.used = used
         self.weight = np.zeros((len(used) + 1, len(landmarks)), np.float32)
         np.add.at(self.weight, (row, np.concatenate(owners)), np.concatenate(weights))
-        self.weight /= _norms(np.array([len(w) for w in landmarks]))
+        self.weight /= _norms(np.bincount(word, minlength=len(landmarks)))
         gram = self.of(landmarks).astype(np.float64)
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
         values = np.maximum(values, 1e-3 * values.max())
@@ -123,6 +130,7 @@ class Kernel:
         for first in range(0, len(vocabulary), 4096):
             part = vocabulary[first : first + 4096]
             letters, word = _laid_out(part)
+            size = np.bincount(word, minlength=len(part))
             for offsets in _PATTERNS:
                 starts, code = _codes(letters, word, offsets)
                 row = self.row[code]
@@ -132,7 +140,8 @@ class Kernel:
                     word[starts[known]],
                     self.weight[row[known]] * DECAY ** (offsets[-1] + 1),
                 )
-        return out / _norms(np.array([len(w) for w in vocabulary]))[:, None]
+            out[first : first + 4096] /= _norms(size)[:, None]
+        return out
 
     def features(self, vocabulary: list[bytes]) -> np.ndarray:
         return self.of(vocabulary) @ self.whiten
@@ -185,7 +194,7 @@ class Model:
         lengths = (ends - starts)[one]
         word = np.repeat(np.arange(len(one)), lengths)
         source = np.arange(len(word)) + np.repeat(starts[one] - np.cumsum(lengths) + lengths, lengths)
-        scores = self.word_scores(_class[chunk.data[source]], word, len(one))
+        scores = self.word_scores(*_letters_only(chunk.data[source], word), len(one))
         present = np.flatnonzero(np.diff(firsts))
         out[present] = np.maximum.reduceat(scores[which], firsts[:-1][present])
         return np.maximum(out, -2.0)
@@ -235,7 +244,7 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
     clean_words = sorted(clean)
     picked = sorted(rng.choice(len(clean_words), min(NEGATIVES, len(clean_words)), replace=False))
     negatives = [clean_words[i] for i in picked]
-    bags = [sorted(d, key=lambda w: (-odds[w], w))[:40] for d, t in zip(documents, toxic, strict=True) if t and d]
+    bags = [sorted(d, key=lambda w: (-odds[w], w))[:WITNESSES] for d, t in zip(documents, toxic, strict=True) if t and d]
     pool = sorted({w for bag in bags for w in bag})
     place = {w: i for i, w in enumerate(pool)}
     pool_features = kernel.features(pool)
