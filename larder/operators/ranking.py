@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from larder.functions.text import as_column
 from larder.sources.scratch import store
 
-WINDOW_ROWS = 2_000_000  # largest group one task sorts
+WINDOW_ROWS = 2_000_000  # larger groups are split over several tasks
 
-GROUP_LIMIT_ROWS = 1_000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 _STEP_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition below bit 33
 
@@ -39,11 +39,12 @@ def top_n_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group, with their rank.
 
-    Up to ``GROUP_LIMIT_ROWS`` Spark plans the rank filter as a group limit that also runs
-    before the shuffle, so a task sends at most ``n`` rows per key however frequent the
-    key is.  Larger cuts are taken from a full ranking that splits large groups.
+    Up to the session's group limit threshold Spark plans the rank filter as a group limit
+    that also runs before the shuffle, so a task sends at most ``n`` rows per key however
+    frequent the key is.  Larger cuts are taken from a full ranking that splits large
+    groups.
     """
-    if n > GROUP_LIMIT_ROWS:
+    if n > int(df.sparkSession.conf.get(_GROUP_LIMIT)):
         ranked = rank_in_group(df, keys, order, rank).where(F.col(rank) <= n)
         return ranked.withColumn(rank, F.col(rank).cast("int"))
     window = Window.partitionBy(*(as_column(k) for k in keys)).orderBy(*order)
@@ -65,26 +66,35 @@ def rank_in_group(
 ) -> DataFrame:
     """Row number of every row within its group, as a long; a NULL key is a group too.
 
-    A window gathers each group into one task, so it is used only when the largest group
-    is known to have at most ``window_rows`` rows; larger groups are ranked across
-    tasks.  The sizes take one pass over the key columns: give a stored frame, or one
-    that is cheap to derive.
+    A window gathers each group into one task.  Groups of more than ``window_rows`` rows,
+    of which there are at most rows / ``window_rows``, are therefore ranked across tasks, and
+    all others by a window; the ranks do not depend on ``window_rows``.  The frame is read
+    once for the group sizes and once for each way: give a stored one.
     """
     if skip_null_groups:
         df = df.dropna(subset=list(keys))
-    sizes = df.groupBy(*(as_column(k) for k in keys)).agg(F.count("*").alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    if largest <= window_rows:
-        window = Window.partitionBy(*(as_column(k) for k in keys)).orderBy(*order)
-        return df.withColumn(rank, F.row_number().over(window).cast("bigint"))
-    return _rank_across_tasks(df, keys, order, rank)
+    if not keys:
+        return _rank_across_tasks(df, keys, order, rank)
+    names = [f"_hot{i}" for i in range(len(keys))]
+    hot = store(
+        df.groupBy(*(as_column(k).alias(n) for k, n in zip(keys, names)))
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > window_rows)
+        .select(*names),
+        "large_groups",
+    )
+    window = Window.partitionBy(*(as_column(k) for k in keys)).orderBy(*order)
+    number = F.row_number().over(window).cast("bigint")
+    if hot.isEmpty():
+        return df.withColumn(rank, number)
+    is_hot = [as_column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    large = _rank_across_tasks(df.join(hot, is_hot, "left_semi"), keys, order, rank)
+    return df.join(hot, is_hot, "left_anti").withColumn(rank, number).unionByName(large)
 
 
-def rank_overall(
-    df: DataFrame, order: Sequence[Column], rank: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """Row number over the whole frame, as a long."""
-    return rank_in_group(df, [], order, rank, window_rows=window_rows)
+def rank_overall(df: DataFrame, order: Sequence[Column], rank: str) -> DataFrame:
+    """Row number over the whole frame, as a long, ranked across tasks."""
+    return _rank_across_tasks(df, [], order, rank)
 
 
 def _rank_across_tasks(
@@ -122,13 +132,26 @@ def _rank_across_tasks(
     kept = [as_column(c) for c in columns]
     if not keys:
         return positions.select(*kept, (F.col("_position") + 1).alias(rank))
+    # The start of a group is noted beside each partition that holds a part of it, so that
+    # the join below splits a large group as its partitions do.
     names = [f"_group{i}" for i in range(len(keys))]
-    firsts = store(
-        positions.groupBy(*(as_column(k).alias(n) for k, n in zip(keys, names)))
-        .agg(F.min("_position").alias("_first")),
-        "group_starts",
+    parts = store(
+        positions.groupBy("_part", *(as_column(k).alias(n) for k, n in zip(keys, names)))
+        .agg(F.min("_position").alias("_start")),
+        "group_parts",
     )
-    same_group = [as_column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-    return positions.join(firsts, same_group).select(
+    whole = [f"_whole{i}" for i in range(len(keys))]
+    firsts = parts.groupBy(*(F.col(n).alias(w) for n, w in zip(names, whole))).agg(
+        F.min("_start").alias("_first")
+    )
+    same = [F.col(n).eqNullSafe(F.col(w)) for n, w in zip(names, whole)]
+    starts_of_groups = store(
+        parts.join(firsts, same).select(F.col("_part").alias("_in"), *names, "_first"), "group_starts"
+    )
+    same_part = [
+        F.col("_part") == F.col("_in"),
+        *(as_column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)),
+    ]
+    return positions.join(starts_of_groups, same_part).select(
         *kept, (F.col("_position") - F.col("_first") + 1).alias(rank)
     )

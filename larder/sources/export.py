@@ -4,31 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 BYTE_ORDER_MARK = "\ufeff"
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def export_csv(
-    df: DataFrame, path: str, order: Sequence[str], single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, path: str, order: Sequence[str], single_file: bool = False
 ) -> int:
     """Write ``df`` as CSV sorted by ``order``: header, UTF-8 with BOM, CRLF line ends.
 
-    A result of at most ``single_file_rows`` rows becomes one file.  A larger one
-    becomes several, each with the header; file names follow the sort order, so the
-    files read in name order are the sorted result.  Give a stored table: it is counted
-    before it is written.  Returns the row count.
+    The result is one or more files, each with the header; file names follow the sort
+    order, so the files read in name order are the sorted result.  ``single_file`` asks for
+    exactly one, which one task sorts and writes.  Returns the rows written.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
-    rows = df.count()
-    if rows <= single_file_rows:
-        ordered = df.repartition(1).sortWithinPartitions(*keys)
-    else:
-        ordered = df.orderBy(*keys)
+    ordered = df.repartition(1).sortWithinPartitions(*keys) if single_file else df.orderBy(*keys)
     first, *others = df.columns
-    marked = ordered.select(F.col(first).alias(BYTE_ORDER_MARK + first), *others)
+    written = Observation()
+    marked = ordered.select(F.col(first).alias(BYTE_ORDER_MARK + first), *others).observe(
+        written, F.count(F.lit(1)).alias("rows")
+    )
     (
         marked.write.mode("overwrite")
         .option("header", True)
@@ -41,4 +38,4 @@ def export_csv(
         .option("encoding", "UTF-8")
         .csv(path)
     )
-    return rows
+    return written.get["rows"]

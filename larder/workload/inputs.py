@@ -112,17 +112,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_TYPES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem, spread over the cores when it comes in fewer files than there are.
-
-    The small test tables are one file with one row group, hence one task; at scale
-    there are far more files than cores and the scan is left alone.
-    """
-    lineitem = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return lineitem.repartition(cores, "l_orderkey") if len(lineitem.inputFiles()) < cores else lineitem
-
-
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*(F.expr(sql).alias(name) for name, sql in columns.items()))
 
@@ -130,7 +119,7 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def raw_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes, grades and measures of the listings, from lineitem alone."""
     return _select(
-        lineitems(spark, sf_dir).withColumns({n: F.expr(sql) for n, sql in LISTING_NUMBERS.items()}), MEASURE_COLUMNS
+        table(spark, sf_dir, "lineitem").withColumns({n: F.expr(sql) for n, sql in LISTING_NUMBERS.items()}), MEASURE_COLUMNS
     )
 
 
@@ -144,7 +133,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("n_name").alias("home_name"))
     away = nation.select(F.col("n_nationkey").alias("away_key"), F.col("n_name").alias("away_name"))
     listings = (
-        lineitems(spark, sf_dir)
+        table(spark, sf_dir, "lineitem")
         .withColumns({n: F.expr(sql) for n, sql in LISTING_NUMBERS.items()})
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
