@@ -20,9 +20,19 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from larder.functions.dates import parse_iso_date
+from larder.operators.aggregates import class_share
 from larder.plans import bronze, gold, silver
 from larder.plans.runner import RunReport, run_steps
-from larder.schemas import INGEST_SAMPLE_ROWS, MART_SCHEMAS, REFINE_SAMPLE_ROWS, TOP_PER_CATEGORY
+from larder.schemas import (
+    INGEST_SAMPLE_ROWS,
+    MART_SCHEMAS,
+    MIN_ROWS_COUNTRIES,
+    MIN_ROWS_PRODUCTS,
+    PRODUCT_SCHEMA,
+    REFINE_SAMPLE_ROWS,
+    TOP_PER_CATEGORY,
+)
+from larder.sources.jdbc import Database
 from larder.sources.lake import read_dated
 
 log = logging.getLogger("larder")
@@ -37,6 +47,11 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     ingest.add_argument("--products", help="product file, tab-separated")
     ingest.add_argument("--countries", help="country file, comma-separated")
     ingest.add_argument("--source", choices=["all", "products", "countries"], default="all")
+    ingest.add_argument("--product-separator", default="\t")
+    ingest.add_argument("--country-separator", default=",")
+    ingest.add_argument("--encoding", default="utf-8")
+    ingest.add_argument("--min-products", type=int, default=MIN_ROWS_PRODUCTS)
+    ingest.add_argument("--min-countries", type=int, default=MIN_ROWS_COUNTRIES)
 
     refine = jobs.add_parser("refine")
     refine.add_argument("--bronze", required=True)
@@ -52,11 +67,16 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     marts.add_argument("--gold", required=True, help="gold root folder")
     marts.add_argument("--only", nargs="+", choices=list(MART_SCHEMAS))
     marts.add_argument("--top", type=int, default=TOP_PER_CATEGORY)
+    marts.add_argument("--jdbc-url", help="also copy the marts to this database")
+    marts.add_argument("--jdbc-driver", default="")
+    marts.add_argument("--jdbc-user", default="")
+    marts.add_argument("--jdbc-password-file", help="file that holds the password alone")
 
     export = jobs.add_parser("export")
     export.add_argument("--gold", required=True)
     export.add_argument("--output", required=True)
     export.add_argument("--only", nargs="+", choices=list(MART_SCHEMAS))
+    export.add_argument("--single-file", action="store_true", help="one file for each mart")
 
     for job in (ingest, refine, report):
         job.add_argument("--date", type=parse_iso_date, default=date.today(), help="YYYY-MM-DD")
@@ -69,7 +89,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunReport:
     if options.job == "ingest":
         return _ingest(spark, options)
     if options.job == "refine":
-        return run_steps(
+        report = run_steps(
             {
                 "silver": lambda: silver.refine(
                     spark,
@@ -82,17 +102,38 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunReport:
                 )
             }
         )
+        if report.ok:
+            refined = report.results["silver"]
+            report = RunReport({"silver": refined.results}, refined.errors)
+        return report
     if options.job == "report":
+        enriched = spark.table(f"{options.database}.products_enriched")
         tables = silver.quality_report(
-            read_dated(spark, f"{options.bronze}/products", options.date),
-            spark.table(f"{options.database}.products_enriched"),
+            read_dated(spark, f"{options.bronze}/products", options.date, PRODUCT_SCHEMA), enriched
+        )
+        tables["products per grade"] = class_share(
+            gold.feature_mart(enriched), "nutrition_grade_fr", digits=2
         )
         steps = {name: lambda df=df: [row.asDict() for row in df.collect()] for name, df in tables.items()}
         return run_steps(steps)
     if options.job == "marts":
         enriched = spark.table(f"{options.database}.products_enriched")
-        return gold.publish_marts(enriched, options.gold, options.only, top_n=options.top)
-    return gold.export_marts(spark, options.gold, options.output, options.only)
+        return gold.publish_marts(
+            enriched, options.gold, options.only, _database(options), top_n=options.top
+        )
+    return gold.export_marts(
+        spark, options.gold, options.output, options.only, options.single_file
+    )
+
+
+def _database(options: argparse.Namespace) -> Database | None:
+    if not options.jdbc_url:
+        return None
+    password = ""
+    if options.jdbc_password_file:
+        with open(options.jdbc_password_file, encoding="utf-8") as file:
+            password = file.read().strip()
+    return Database(options.jdbc_url, options.jdbc_driver, options.jdbc_user, password)
 
 
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> RunReport:
@@ -101,16 +142,28 @@ def _ingest(spark: SparkSession, options: argparse.Namespace) -> RunReport:
     sample = INGEST_SAMPLE_ROWS if options.sample else None
     steps = {
         "products": lambda: bronze.ingest_products(
-            spark, options.products, targets["products"], options.date, sample_rows=sample
+            spark,
+            options.products,
+            targets["products"],
+            options.date,
+            options.product_separator,
+            options.encoding,
+            sample,
         ),
         "countries": lambda: bronze.ingest_countries(
-            spark, options.countries, targets["countries"], options.date
+            spark,
+            options.countries,
+            targets["countries"],
+            options.date,
+            options.country_separator,
+            options.encoding,
         ),
     }
     report = run_steps(steps, chosen)
     written = {name: targets[name] for name in report.results}
     if written:
-        for verdict in bronze.check_volumes(spark, written, options.date, sample).collect():
+        least = {"products": options.min_products, "countries": options.min_countries}
+        for verdict in bronze.check_volumes(spark, written, options.date, sample, least).collect():
             if not verdict.ok:
                 report.errors[f"volume of {verdict.source}"] = (
                     f"{verdict.rows} rows, at least {verdict.min_rows} wanted"

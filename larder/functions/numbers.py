@@ -16,7 +16,8 @@ def lenient_double(value: str | Column) -> Column:
 
 
 def lenient_long(value: str | Column) -> Column:
-    return as_column(value).try_cast("bigint")
+    """Whole part of a number or numeric text, exact up to the largest long."""
+    return as_column(value).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def lenient_int(value: str | Column) -> Column:

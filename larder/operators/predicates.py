@@ -47,7 +47,13 @@ def equal_if_given(column: str, value: str | None) -> list[Column]:
     return [F.col(column) == value] if value else []
 
 
+def equal_upper_if_given(column: str, value: str | None) -> list[Column]:
+    """For columns that are upper-case by contract; a plain comparison reaches the scan."""
+    return [F.col(column) == value.upper()] if value else []
+
+
 def equal_ignoring_case_if_given(column: str, value: str | None) -> list[Column]:
+    """For columns of small tables: the scan cannot filter by it."""
     return [F.lower(column) == F.lower(F.lit(value))] if value else []
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 import time
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from larder.operators.ordering import top_k
+from larder.operators.ordering import first_by
 from larder.operators.quality import volume_gate
 from larder.operators.ranking import total_order
 from larder.operators.shape import conform, stamp_date
 from larder.schemas import MIN_ROWS_COUNTRIES, MIN_ROWS_PRODUCTS, PRODUCT_SCHEMA
-from larder.sources.delimited import read_text_table, read_typed_table
-from larder.sources.lake import dated_folder, read_dated, write_dated
+from larder.sources.delimited import read_text_table
+from larder.sources.lake import dated_folder, read_dated, write_date
 
 
 def bronze_products(raw: DataFrame, ingest_date: date) -> DataFrame:
@@ -21,13 +22,16 @@ def bronze_products(raw: DataFrame, ingest_date: date) -> DataFrame:
 
 
 def bronze_countries(raw: DataFrame, ingest_date: date) -> DataFrame:
-    """Country columns keep their source names and types until silver."""
+    """Country columns keep their source names, and stay text until silver casts them.
+
+    Types inferred per file would differ between dates and make one of them unreadable.
+    """
     return stamp_date(raw, ingest_date)
 
 
 def sample_by_code(df: DataFrame, rows: int) -> DataFrame:
     """A repeatable development sample: the first rows by code."""
-    return top_k(df, total_order(df, "code"), rows)
+    return first_by(df, "code", total_order(df, "code"), rows)
 
 
 def ingest_products(
@@ -40,11 +44,11 @@ def ingest_products(
     sample_rows: int | None = None,
 ) -> dict:
     """Write the product file to ``target`` and return the run's metrics."""
-    raw = read_text_table(spark, source, sep, encoding)
-    picked = raw if sample_rows is None else sample_by_code(raw, sample_rows)
-    return _ingest(
-        bronze_products(picked, ingest_date), raw if sample_rows is not None else None, target, ingest_date
-    )
+    raw, read = _counted(read_text_table(spark, source, sep, encoding))
+    products = conform(raw, PRODUCT_SCHEMA)
+    if sample_rows is not None:
+        products = sample_by_code(products, sample_rows)
+    return _ingest(stamp_date(products, ingest_date), read, target, ingest_date)
 
 
 def ingest_countries(
@@ -55,20 +59,23 @@ def ingest_countries(
     sep: str = ",",
     encoding: str = "utf-8",
 ) -> dict:
-    raw = read_typed_table(spark, source, sep, encoding)
-    return _ingest(bronze_countries(raw, ingest_date), None, target, ingest_date)
+    raw, read = _counted(read_text_table(spark, source, sep, encoding))
+    return _ingest(bronze_countries(raw, ingest_date), read, target, ingest_date)
 
 
-def _ingest(df: DataFrame, counted: DataFrame | None, target: str, ingest_date: date) -> dict:
-    """Write once, then count what is on disk from the Parquet footers.
+def _counted(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """``raw`` and the count of its rows, taken by the first job that reads it."""
+    read = Observation()
+    return raw.observe(read, F.count(F.lit(1)).alias("rows")), read
 
-    Without a sample every row read is written, so the source needs no count of its own.
-    """
+
+def _ingest(df: DataFrame, read: Observation, target: str, ingest_date: date) -> dict:
+    """Write once, then count what is on disk from the Parquet footers."""
     started = time.monotonic()
-    write_dated(df, target)
-    written = read_dated(df.sparkSession, target, ingest_date).count()
+    write_date(df, target, ingest_date)
+    written = read_dated(df.sparkSession, target, ingest_date, df.schema).count()
     return {
-        "rows_read": written if counted is None else counted.count(),
+        "rows_read": read.get["rows"],
         "rows_written": written,
         "output_path": dated_folder(target, ingest_date),
         "duration_seconds": round(time.monotonic() - started, 1),
@@ -80,12 +87,15 @@ def check_volumes(
     targets: dict[str, str],
     ingest_date: date,
     sample_rows: int | None = None,
+    min_rows: dict[str, int] | None = None,
 ) -> DataFrame:
     """Verdict per source (``products``, ``countries``) for one ingest date.
 
+    ``min_rows`` replaces the usual minimum of the sources it names.
+
     A sample run is held to the sample size where that is below the usual minimum.
     """
-    least = {"products": MIN_ROWS_PRODUCTS, "countries": MIN_ROWS_COUNTRIES}
+    least = {"products": MIN_ROWS_PRODUCTS, "countries": MIN_ROWS_COUNTRIES, **(min_rows or {})}
     if sample_rows is not None:
         least["products"] = min(least["products"], sample_rows)
     return volume_gate(

@@ -153,12 +153,16 @@ def ordered_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def export_marts(
-    spark: SparkSession, path: str, output: str, only: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    output: str,
+    only: Iterable[str] | None = None,
+    single_file: bool = False,
 ) -> RunReport:
-    """Export the stored marts as ordered CSV, one folder each."""
+    """Export the stored marts as ordered CSV, one folder each; with ``single_file`` one file each."""
     steps = {
         name: lambda name=name: export_csv(
-            read_mart(spark, path, name), f"{output}/{name}", MART_SORT_KEYS[name]
+            read_mart(spark, path, name), f"{output}/{name}", MART_SORT_KEYS[name], single_file
         )
         for name in MART_SCHEMAS
     }

@@ -15,19 +15,10 @@ from larder.operators.predicates import (
     at_least_if_given,
     equal_if_given,
     equal_ignoring_case_if_given,
+    equal_upper_if_given,
 )
 from larder.operators.ranking import ordering
-
-# Means reported per grade: output name and mart column.
-FEATURE_MEANS = {
-    "avg_energy": "energy_100g",
-    "avg_fat": "fat_100g",
-    "avg_sugars": "sugars_100g",
-    "avg_proteins": "proteins_100g",
-    "avg_fiber": "fiber_100g",
-    "avg_salt": "salt_100g",
-    "avg_additives": "additives_n",
-}
+from larder.schemas import FEATURE_MEANS
 
 
 def sugar_page(
@@ -41,7 +32,7 @@ def sugar_page(
     wanted = all_of(
         equal_if_given("category", category)
         + at_least_if_given("sugars_100g", min_sugars)
-        + equal_ignoring_case_if_given("nutrition_grade_fr", grade)
+        + equal_upper_if_given("nutrition_grade_fr", grade)
     )
     return page_of(mart.where(wanted), ordering("category", "sugar_rank_in_category"), page, limit)
 
@@ -59,11 +50,15 @@ def grade_page(
     region: str | None = None,
     grade: str | None = None,
 ) -> Page:
-    """Best mean score first; countries without a score come last."""
+    """Best mean score first; countries without a score come last.
+
+    The mart has one row per country and grade, so the filters on country and region,
+    which ignore case, read it whole.
+    """
     wanted = all_of(
         equal_ignoring_case_if_given("country", country)
         + equal_ignoring_case_if_given("region", region)
-        + equal_ignoring_case_if_given("nutrition_grade_fr", grade)
+        + equal_upper_if_given("nutrition_grade_fr", grade)
     )
     order = ordering("avg_nutriscore_score", "country", "region", "nutrition_grade_fr")
     return page_of(mart.where(wanted), order, page, limit)
@@ -82,7 +77,8 @@ def grade_summary(mart: DataFrame) -> DataFrame:
 
 
 def additive_page(mart: DataFrame, page: int = 1, limit: int = 50) -> Page:
-    return page_of(mart, ordering("rank_overall"), page, limit)
+    """The stored rank is the place in the order, so a page is a range of it."""
+    return page_of(mart, ordering("rank_overall"), page, limit, place="rank_overall")
 
 
 def top_additives(mart: DataFrame, n: int) -> DataFrame:
@@ -91,8 +87,11 @@ def top_additives(mart: DataFrame, n: int) -> DataFrame:
     return top_k(mart, ordering("rank_overall"), n)
 
 
-def feature_page(mart: DataFrame, page: int = 1, limit: int = 100) -> Page:
-    return page_of(mart, ordering("code"), page, limit, max_limit=1000)
+def feature_page(
+    mart: DataFrame, page: int = 1, limit: int = 100, after: str | None = None
+) -> Page:
+    """By code, which is unique; ``after`` is the last code of the page before, if it is known."""
+    return page_of(mart, ordering("code"), page, limit, max_limit=1000, key="code", after=after)
 
 
 def feature_means(mart: DataFrame) -> DataFrame:

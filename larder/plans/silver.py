@@ -24,18 +24,22 @@ from larder.operators.shape import (
     with_null_column,
 )
 from larder.plans.bronze import sample_by_code
+from larder.plans.runner import RunReport
 from larder.schemas import (
     COUNTRY_COMMA_COLUMNS,
     COUNTRY_RENAMES,
+    COUNTRY_SCHEMA,
     COUNTRY_WHOLE_COLUMNS,
     DATE_COLUMNS,
     GRADES,
     PRODUCT_RENAMES,
+    PRODUCT_SCHEMA,
     SILVER_TABLES,
     TOP_PER_CATEGORY,
 )
 from larder.sources.lake import read_dated
-from larder.sources.tables import ensure_database, publish_twice
+from larder.sources.scratch import store
+from larder.sources.tables import ensure_database, publish_twice, tables_exist
 
 log = logging.getLogger(__name__)
 
@@ -185,32 +189,36 @@ def refine(
     database: str,
     ingest_date: date,
     sample_rows: int | None = None,
-) -> dict[str, int]:
-    """Build and publish the three silver tables of one ingest date; returns their rows.
+) -> RunReport:
+    """Build and publish the three silver tables of one ingest date; reports their rows.
 
-    Each table is stored before the next is built from it, so nothing is computed twice
-    and a lost executor costs the work of the running step only.
+    Each table is stored before the next is built from it, and the enriched rows before
+    they are ranked, so nothing is computed twice and a lost executor costs the work of the
+    running step only.  Where ranking or its write fails, the enriched rows go out with NULL
+    ranks, and the report holds the error.
     """
     ensure_database(spark, database)
     paths = {name: f"{silver_path}/{name}" for name in SILVER_TABLES}
-    rows = {}
+    report = RunReport()
 
     def publish(name: str, df: DataFrame) -> DataFrame:
-        rows[name] = publish_twice(df, paths[name], f"{database}.{name}", ingest_date)
-        return read_dated(spark, paths[name], ingest_date)
+        report.results[name] = publish_twice(df, paths[name], f"{database}.{name}", ingest_date)
+        return read_dated(spark, paths[name], ingest_date, df.schema)
 
-    raw = read_dated(spark, bronze_products_path, ingest_date)
+    raw = read_dated(spark, bronze_products_path, ingest_date, PRODUCT_SCHEMA)
     if sample_rows is not None:
         raw = sample_by_code(raw, sample_rows)
     products = publish("products_clean", clean_products(raw))
     countries = publish(
-        "countries_clean", clean_countries(read_dated(spark, bronze_countries_path, ingest_date))
+        "countries_clean", clean_countries(read_dated(spark, bronze_countries_path, ingest_date, COUNTRY_SCHEMA))
     )
-    enriched = enrich(products, countries)
+    enriched = store(enrich(products, countries), "enriched")
     try:
-        ranked = with_sugar_rank(enriched)
-    except Exception:
+        publish("products_enriched", with_sugar_rank(enriched))
+    except Exception as error:
         log.exception("sugar rank failed; the enriched table goes out without it")
-        ranked = with_null_column(enriched, "sugar_rank_in_category", "bigint")
-    publish("products_enriched", ranked)
-    return rows
+        report.errors["sugar_rank_in_category"] = str(error)
+        publish("products_enriched", with_null_column(enriched, "sugar_rank_in_category", "bigint"))
+    listed = tables_exist(spark, [f"{database}.{name}" for name in SILVER_TABLES])
+    report.errors.update({name: "not in the catalog" for name, found in listed.items() if not found})
+    return report

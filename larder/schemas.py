@@ -61,6 +61,8 @@ COUNTRY_RENAMES = {
     "Service": "service",
 }
 
+COUNTRY_SCHEMA = _struct(*((name, _TEXT) for name in COUNTRY_RENAMES))
+
 COUNTRY_WHOLE_COLUMNS = ("population", "area_sq_mi", "gdp_per_capita")
 
 # Written with a decimal comma in the raw country file.
@@ -126,6 +128,17 @@ MART_SCHEMAS = {
     ),
 }
 
+# Means reported per grade: output name and mart column.
+FEATURE_MEANS = {
+    "avg_energy": "energy_100g",
+    "avg_fat": "fat_100g",
+    "avg_sugars": "sugars_100g",
+    "avg_proteins": "proteins_100g",
+    "avg_fiber": "fiber_100g",
+    "avg_salt": "salt_100g",
+    "avg_additives": "additives_n",
+}
+
 MART_UNIQUE_KEYS = {"dm_ml_nutriscore_prediction": ("code",)}
 
 # Export order of each mart.
@@ -141,7 +154,7 @@ MART_LOOKUP_COLUMNS = {
     "dm_sugar_by_category": ("category", "sugar_rank_in_category", "nutrition_grade_fr"),
     "dm_nutriscore_by_country": ("country", "region", "nutrition_grade_fr"),
     "dm_additives_analysis": ("rank_overall", "additive_tag"),
-    "dm_ml_nutriscore_prediction": ("nutrition_grade_fr", "main_category"),
+    "dm_ml_nutriscore_prediction": ("nutrition_grade_fr", "main_category", "code"),
 }
 
 # Volume gate and report sizes.

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from larder.schemas import JDBC_BATCH_ROWS
 
+CONNECTIONS = 8  # open at once while writing
+
 
 @dataclass(frozen=True)
 class Database:
@@ -34,15 +36,13 @@ def write_jdbc(
     database: Database,
     table: str,
     mode: str = "overwrite",
-    connections: int | None = None,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Write ``df``; ``overwrite`` drops and recreates the table from the DataFrame schema.
 
     Every task opens a connection, so ``connections`` bounds how many run at once.
     """
-    writer = df.write.mode(mode)
-    if connections is not None:
-        writer = writer.option("numPartitions", connections)
+    writer = df.write.mode(mode).option("numPartitions", connections)
     writer.jdbc(url=database.url, table=table, properties=database.properties())
 
 

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.predicates import on_date
 from larder.schemas import DATE_COLUMNS
@@ -29,9 +30,28 @@ def write_dated(df: DataFrame, path: str, rebalance: bool = False) -> None:
     )
 
 
-def read_dated(spark: SparkSession, path: str, ingest_date: date) -> DataFrame:
-    """Rows of one ingest date; the date is a partition filter, other folders are not listed into tasks."""
-    return spark.read.parquet(path).where(on_date(ingest_date))
+def write_date(df: DataFrame, path: str, ingest_date: date) -> None:
+    """Replace one ingest date by ``df``, with no rows too; other dates stay.
+
+    The date's own folder is written, date columns of ``df`` aside, so a run without rows
+    leaves an empty date and its schema instead of the rows of the run before.
+    """
+    df.drop(*DATE_COLUMNS).write.mode("overwrite").parquet(dated_folder(path, ingest_date))
+
+
+def read_dated(
+    spark: SparkSession, path: str, ingest_date: date, schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of one ingest date; the date is a partition filter, other folders are not listed into tasks.
+
+    Give the declared ``schema`` of the columns (date columns aside or not) wherever it is
+    known: without it Spark infers the types from a file of any date.
+    """
+    if schema is None:
+        return spark.read.parquet(path).where(on_date(ingest_date))
+    columns = [f for f in schema.fields if f.name not in DATE_COLUMNS]
+    dates = [T.StructField(name, T.IntegerType()) for name in DATE_COLUMNS]
+    return spark.read.schema(T.StructType(columns + dates)).parquet(path).where(on_date(ingest_date))
 
 
 def dated_folder(path: str, ingest_date: date) -> str:

@@ -17,9 +17,11 @@ _local_roots: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if root and root.startswith("file:") and not _is_local(spark):
+        raise ValueError(f"{_SETTING} is a machine's own folder: {root}")
     if root:
         return f"{root.rstrip('/')}/larder/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not _is_local(spark):
         raise ValueError(f"set {_SETTING} to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -27,6 +29,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored, databases in its scratch folder included."""
+    root = shared_folder(spark)
+    for database in spark.catalog.listDatabases():
+        if database.locationUri and root in database.locationUri:
+            spark.sql(f"DROP DATABASE `{database.name}` CASCADE")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 

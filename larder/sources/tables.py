@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.functions.text import as_column
 from larder.operators.shape import stamp_date
-from larder.sources.lake import read_dated, write_dated
+from larder.sources.lake import read_dated, write_date
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -43,8 +43,8 @@ def publish_twice(df: DataFrame, path: str, table: str, ingest_date: date) -> in
     the same rows.  Returns the rows written, counted from the Parquet footers.
     """
     stamped = stamp_date(df, ingest_date)
-    write_dated(stamped, path)
-    written = read_dated(df.sparkSession, path, ingest_date).select(
+    write_date(stamped, path, ingest_date)
+    written = read_dated(df.sparkSession, path, ingest_date, stamped.schema).select(
         *(as_column(c) for c in stamped.columns)
     )
     overwrite_table(written, table)
