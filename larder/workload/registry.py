@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ from larder.operators.ranking import total_order
 from larder.plans import bronze, dashboards, gold, serving, silver
 from larder.schemas import (
     COUNTRY_RENAMES,
+    COUNTRY_SCHEMA,
     DATE_COLUMNS,
     GRADES,
+    MART_LOOKUP_COLUMNS,
     MART_SCHEMAS,
     MART_UNIQUE_KEYS,
     PRODUCT_SCHEMA,
@@ -39,7 +42,6 @@ from larder.sources.scratch import new_path, store
 from larder.workload import stages
 from larder.workload.inputs import (
     INGEST_DATE,
-    lineitems,
     raw_countries,
     raw_measures,
     raw_products,
@@ -267,14 +269,15 @@ def export_csv_ordered(spark, sf_dir):
 @registered(
     "clustered_mart_lookup",
     "select code, main_category, sugars_100g, nutrition_grade_fr from mart_feature"
-    " where main_category = 'promo'",
+    " where nutrition_grade_fr = 'C' and main_category = 'promo'",
 )
 def clustered_mart_lookup(spark, sf_dir):
-    path = new_path(spark, "features_by_category")
-    lake.write_clustered(stages.feature_mart(spark, sf_dir), path, "main_category", ["code"])
+    path = new_path(spark, "features_by_grade")
+    lookup, *spread = MART_LOOKUP_COLUMNS["dm_ml_nutriscore_prediction"]
+    lake.write_clustered(stages.feature_mart(spark, sf_dir), path, lookup, spread)
     return (
         spark.read.parquet(path)
-        .where(F.col("main_category") == "promo")
+        .where((F.col("nutrition_grade_fr") == "C") & (F.col("main_category") == "promo"))
         .select("code", "main_category", "sugars_100g", "nutrition_grade_fr")
     )
 
@@ -285,12 +288,25 @@ def clustered_mart_lookup(spark, sf_dir):
               true as schema_ok from mart_sugar
        union all select 'dm_nutriscore_by_country', count(*), 0, true from mart_grade
        union all select 'dm_additives_analysis', count(*), 0, true from mart_additive
-       union all select 'dm_ml_nutriscore_prediction', count(*), 0, true from mart_feature""",
+       union all select 'dm_ml_nutriscore_prediction', count(*), 0, true from mart_feature
+       union all select 'without a column', count(*), 0, false from mart_sugar
+       union all select 'written twice', 2 * count(*), count(*), true from mart_feature""",
 )
 def mart_contract_check(spark, sf_dir):
+    """The four marts, one that lacks a column and one whose keys repeat."""
     enriched = stages.enriched(spark, sf_dir)
     marts = {name: build(enriched) for name, build in gold.mart_builders().items()}
-    return quality.contract_report(marts, MART_SCHEMAS, MART_UNIQUE_KEYS)
+    sugar, features = "dm_sugar_by_category", "dm_ml_nutriscore_prediction"
+    stored = stages.feature_mart(spark, sf_dir)
+    broken = {
+        "without a column": stages.sugar_mart(spark, sf_dir).drop("product_name"),
+        "written twice": stored.unionByName(stored),
+    }
+    return quality.contract_report(
+        {**marts, **broken},
+        {**MART_SCHEMAS, "without a column": MART_SCHEMAS[sugar], "written twice": MART_SCHEMAS[features]},
+        {**MART_UNIQUE_KEYS, "written twice": MART_UNIQUE_KEYS[features]},
+    )
 
 
 # Projections ----------------------------------------------------------------------------
@@ -464,7 +480,7 @@ _PRICE_TEXT = (
         from (select *, {_PRICE_TEXT} as price from lineitem)""",
 )
 def decimal_comma_to_double(spark, sf_dir):
-    lineitem = lineitems(spark, sf_dir).select(
+    lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.expr(_PRICE_TEXT).alias("price"),
@@ -749,7 +765,7 @@ def top_n_per_group(spark, sf_dir):
 )
 def rank_overall(spark, sf_dir):
     sold = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("sold"))
-    return ranking.rank_overall(store(sold, "sold"), by("-sold", "l_partkey"), "place", window_rows=1_000)
+    return ranking.rank_overall(store(sold, "sold"), by("-sold", "l_partkey"), "place")
 
 
 @registered("additive_ranking", "select * from mart_additive")
@@ -894,7 +910,93 @@ def persisted_reuse(spark, sf_dir):
 def bronze_products(spark, sf_dir):
     target = new_path(spark, "bronze_products")
     bronze.ingest_products(spark, _raw_product_file(spark, sf_dir), target, INGEST_DATE)
-    return lake.read_dated(spark, target, INGEST_DATE)
+    return lake.read_dated(spark, target, INGEST_DATE, PRODUCT_SCHEMA)
+
+
+@registered(
+    "dated_rerun_empty",
+    """select 'path' as copy, 'other' as date, count(*) as rows,
+              cast(sum(c_custkey) as bigint) as keys from customer
+       union all select 'path', 'rerun', 0, null
+       union all select 'table', 'rerun', 0, null
+       union all select 'path', 'filled', count(*), cast(sum(c_custkey) as bigint) from customer
+       union all select 'table', 'filled', count(*), cast(sum(c_custkey) as bigint) from customer
+       union all select 'path', 'first', 0, null""",
+)
+def dated_rerun_empty(spark, sf_dir):
+    """A date run full, then empty, then full again; another date; and an empty first run."""
+    path, name = new_path(spark, "rerun"), f"{_new_database(spark, 'rerun')}.customers"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    none, other = customers.limit(0), date(2024, 5, 13)
+    frames = []
+
+    def note(copy: str, label: str, df: DataFrame) -> None:
+        sums = df.agg(F.count("*").alias("rows"), F.sum("c_custkey").alias("keys"))
+        frames.append(
+            store(sums.select(F.lit(copy).alias("copy"), F.lit(label).alias("date"), "rows", "keys"), "rerun")
+        )
+
+    def dated(day: date, folder: str = path) -> DataFrame:
+        return lake.read_dated(spark, folder, day, customers.schema)
+
+    tables.publish_twice(customers, path, name, other)
+    for label, df in (("full", customers), ("rerun", none), ("filled", customers)):
+        tables.publish_twice(df, path, name, INGEST_DATE)
+        if label != "full":
+            note("path", label, dated(INGEST_DATE))
+            note("table", label, spark.table(name))
+    note("path", "other", dated(other))
+    first = new_path(spark, "rerun_first")
+    lake.write_date(none, first, INGEST_DATE)
+    note("path", "first", dated(INGEST_DATE, first))
+    return reduce(DataFrame.unionByName, frames)
+
+
+@registered(
+    "country_type_drift",
+    """select day, cast(count(*) as bigint) as countries, cast(sum(population) as bigint) as population from (
+         select 14 as day, try_cast("Population" as bigint) as population from raw_countries
+         union all
+         select 15, case when "Climate" = '1' then null else try_cast("Population" as bigint) end
+         from raw_countries) group by day""",
+)
+def country_type_drift(spark, sf_dir):
+    """Two dates whose files would be inferred with different types."""
+    target = new_path(spark, "drift")
+    raw = raw_countries(spark, sf_dir)
+    dirt = F.when(F.col("Climate") == "1", "n/a").otherwise(F.col("Population"))
+    days = {INGEST_DATE: raw, date(2024, 5, 15): raw.withColumn("Population", dirt)}
+    for day, df in days.items():
+        source = new_path(spark, "drift_source")
+        _write_text(df, source, ",")
+        bronze.ingest_countries(spark, source, target, day)
+    found = [
+        lake.read_dated(spark, target, day, COUNTRY_SCHEMA).select(
+            "day", lenient_long("Population").alias("population")
+        )
+        for day in days
+    ]
+    return reduce(DataFrame.unionByName, found).groupBy("day").agg(
+        F.count("*").alias("countries"), F.sum("population").alias("population")
+    )
+
+
+@registered(
+    "lenient_long",
+    """select l_orderkey, l_linenumber, cast(l_orderkey as bigint) as plain,
+              cast(trunc(l_quantity) as bigint) as decimal_text, cast(null as bigint) as malformed
+       from lineitem""",
+)
+def lenient_long_query(spark, sf_dir):
+    lineitem = table(spark, sf_dir, "lineitem")
+    quantity = F.col("l_quantity").cast("string")
+    return lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        lenient_long(F.col("l_orderkey").cast("string")).alias("plain"),
+        lenient_long(quantity).alias("decimal_text"),
+        lenient_long(F.concat(quantity, F.lit("x"))).alias("malformed"),
+    )
 
 
 @registered(
@@ -926,7 +1028,7 @@ def ingest_metrics(spark, sf_dir):
 def bronze_countries(spark, sf_dir):
     target = new_path(spark, "bronze_countries")
     bronze.ingest_countries(spark, _raw_country_file(spark, sf_dir), target, INGEST_DATE)
-    stored = lake.read_dated(spark, target, INGEST_DATE)
+    stored = lake.read_dated(spark, target, INGEST_DATE, COUNTRY_SCHEMA)
     return shape.rename(stored, COUNTRY_RENAMES).select(
         "country", "region", F.col("population").cast("bigint").alias("population"), "net_migration",
         *DATE_COLUMNS,
@@ -948,7 +1050,10 @@ def bronze_countries(spark, sf_dir):
 )
 def silver_profiles(spark, sf_dir):
     enriched = stages.enriched(spark, sf_dir)
-    top = silver.with_sugar_rank(enriched).where(F.col("sugar_rank_in_category") <= 10)
+    top = ranking.top_n_per_group(
+        enriched, ["main_category"], by("-sugars_100g", "code", "country_single"), 10,
+        "sugar_rank_in_category",
+    )
 
     def lines(df: DataFrame, profile: str, key: str, grade, rows: str, value) -> DataFrame:
         return df.select(
@@ -986,7 +1091,8 @@ def publish_silver(spark, sf_dir):
     lake.write_dated(stages.bronze_products(spark, sf_dir), products)
     lake.write_dated(stages.bronze_countries(spark, sf_dir), countries)
     target, database = new_path(spark, "silver"), _new_database(spark, "silver_tables")
-    rows = silver.refine(spark, products, countries, target, database, INGEST_DATE)
+    refined = silver.refine(spark, products, countries, target, database, INGEST_DATE)
+    rows = refined.raise_on_error().results
     sums = {
         "products_clean": F.sum(F.coalesce("sugars_100g", F.lit(0.0))),
         "countries_clean": F.sum("population").cast("double"),
@@ -1004,19 +1110,38 @@ def publish_silver(spark, sf_dir):
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+_MART_SUMS = {
+    "dm_sugar_by_category": ("mart_sugar", "sugars_100g", "nutrition_grade_fr"),
+    "dm_nutriscore_by_country": ("mart_grade", "nb_products", "country"),
+    "dm_additives_analysis": ("mart_additive", "total_occurrences", "additive_tag"),
+    "dm_ml_nutriscore_prediction": ("mart_feature", "energy_100g", "code"),
+}
+
+
 @registered(
     "publish_marts",
-    """select 'dm_sugar_by_category' as label, count(*) as rows from mart_sugar
-       union all select 'dm_nutriscore_by_country', count(*) from mart_grade
-       union all select 'dm_additives_analysis', count(*) from mart_additive
-       union all select 'dm_ml_nutriscore_prediction', count(*) from mart_feature""",
+    " union all ".join(
+        f"select '{name}' as label, count(*) as rows, cast(sum({number}) as double) as total,"
+        f" cast(sum(length({text})) as bigint) as letters, min({text}) as low, max({text}) as high"
+        f" from {stage}"
+        for name, (stage, number, text) in _MART_SUMS.items()
+    ),
 )
 def publish_marts(spark, sf_dir):
     path = new_path(spark, "marts")
     gold.publish_marts(stages.enriched(spark, sf_dir), path).raise_on_error()
-    return aggregates.labelled_counts(
-        {name: gold.read_mart(spark, path, name) for name in MART_SCHEMAS}
-    )
+    sums = [
+        gold.read_mart(spark, path, name).agg(
+            F.lit(name).alias("label"),
+            F.count("*").alias("rows"),
+            F.sum(number).cast("double").alias("total"),
+            F.sum(F.length(text)).alias("letters"),
+            F.min(text).alias("low"),
+            F.max(text).alias("high"),
+        )
+        for name, (_, number, text) in _MART_SUMS.items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
 
 
 @registered("ml_feature_table", "select * from mart_feature")
@@ -1031,13 +1156,13 @@ def ml_feature_table(spark, sf_dir):
     "page_top_sugar",
     """with chosen as (
          select * from mart_sugar
-         where category = 'promo' and sugars_100g >= 0 and lower(nutrition_grade_fr) = lower('A'))
+         where category = 'promo' and sugars_100g >= 0 and nutrition_grade_fr = 'B')
        select *, (select count(*) from chosen) as total from chosen
        order by category, sugar_rank_in_category limit 5 offset 0""",
 )
 def page_top_sugar(spark, sf_dir):
     return serving.sugar_page(
-        stages.sugar_mart(spark, sf_dir), page=1, limit=5, category="promo", min_sugars=0, grade="a"
+        stages.sugar_mart(spark, sf_dir), page=1, limit=5, category="promo", min_sugars=0, grade="b"
     ).with_total()
 
 
@@ -1103,18 +1228,20 @@ def bi_score_by_country(spark, sf_dir):
 
 @registered(
     "bi_sugar_by_product",
-    "select * from mart_sugar where sugar_rank_in_category <= 10 and category in ('promo', 'large')",
+    "select * from mart_sugar where sugar_rank_in_category <= 5 and category in ('promo', 'large')",
 )
 def bi_sugar_by_product(spark, sf_dir):
-    return dashboards.sugar_by_product(stages.sugar_mart(spark, sf_dir), category=["promo", "large"])
+    return dashboards.sugar_by_product(
+        stages.sugar_mart(spark, sf_dir), category=["promo", "large"], max_rank=5
+    )
 
 
 @registered(
     "bi_top20_tokens",
-    "select rank_overall, additive_tag, total_occurrences from mart_additive where rank_overall <= 20",
+    "select rank_overall, additive_tag, total_occurrences from mart_additive where rank_overall <= 5",
 )
 def bi_top20_tokens(spark, sf_dir):
-    return dashboards.frequent_additives(stages.additive_mart(spark, sf_dir))
+    return dashboards.frequent_additives(stages.additive_mart(spark, sf_dir), max_rank=5)
 
 
 @registered(

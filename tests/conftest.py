@@ -9,12 +9,13 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("larder-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -22,6 +23,9 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from larder.sources.scratch import discard_scratch
+
+    discard_scratch(session)
     session.stop()
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from larder.functions import comma_decimal, lenient_double, lenient_int, lenient_long, path_text
 from larder.functions.dates import parse_iso_date
 from larder.operators.aggregates import class_share
-from larder.operators.ordering import page_of, sample_rows
+from larder.operators.ordering import first_by, page_of, sample_rows
 from larder.operators.predicates import at_least_or_null, within_or_null
 from larder.operators.quality import rule_funnel
 from larder.operators.ranking import (
@@ -31,7 +31,9 @@ def test_lenient_numbers(spark):
     df = texts(spark, "3", "3.0", "3.7", "-3.7", "", "abc", None, "99999999999")
     assert column(df, lenient_int("t")) == [3, 3, 3, -3, None, None, None, None]
     assert column(df, lenient_double("t"))[4:7] == [None, None, None]
-    assert column(df, lenient_long("t"))[-1] == 99999999999
+    assert column(df, lenient_long("t")) == [3, 3, 3, -3, None, None, None, 99999999999]
+    largest = texts(spark, "9223372036854775807", "9223372036854775808")
+    assert column(largest, lenient_long("t")) == [9223372036854775807, None]
     commas = texts(spark, "48,0", "1.234,5", "n/a", "7", None)
     assert column(commas, comma_decimal("t")) == [48.0, None, None, 7.0, None]
 
@@ -85,10 +87,34 @@ def test_rank_across_tasks_equals_a_window(skewed, uncoalesced):
     assert small.exceptAll(theirs).count() == 0
 
 
+def test_only_the_hot_group_is_ranked_across_tasks(skewed, uncoalesced, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    order = ordering("-v", "id")
+    split = rank_in_group(skewed, ["g"], order, "r", window_rows=5000)
+    window = Window.partitionBy("g").orderBy(*order)
+    theirs = skewed.withColumn("r", F.row_number().over(window).cast("bigint"))
+    assert split.count() == 20000 and split.exceptAll(theirs).count() == 0
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number") == 1
+    # The hot rows meet the starts of their group by partition and group, not by group alone.
+    assert "hashpartitioning(_in#" in [line for line in plan.splitlines() if "hashpartitioning" in line][-1]
+    for threshold in (100, 1000, 100_000):
+        other = rank_in_group(skewed, ["g"], order, "r", window_rows=threshold)
+        assert other.exceptAll(split).count() == 0
+
+
+def test_group_limit_threshold_is_the_sessions(skewed, setting):
+    order = ordering("-v", "id")
+    usual = top_n_per_group(skewed, ["g"], order, 5, "r").collect()
+    setting("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    assert sorted(top_n_per_group(skewed, ["g"], order, 5, "r").collect(), key=str) == sorted(usual, key=str)
+
+
 @pytest.mark.parametrize("width", ["1", "3", "17"])
 def test_rank_overall_at_any_shuffle_width(skewed, setting, uncoalesced, width):
     setting("spark.sql.shuffle.partitions", width)
-    ranked = rank_overall(skewed, ordering("-v", "id"), "r", window_rows=0)
+    ranked = rank_overall(skewed, ordering("-v", "id"), "r")
     found = [r.r for r in ranked.orderBy(*ordering("-v", "id")).select("r").collect()]
     assert found == list(range(1, 20001))
 
@@ -165,11 +191,25 @@ def test_pages_cover_the_result_once(skewed):
     for number in range(1, 5):
         seen += [r.id for r in page_of(skewed.where("id < 1000"), order, number, 300).items.collect()]
     assert len(seen) == len(set(seen)) == 1000
+    far = page_of(skewed, order, 60, 300).items
+    assert [r.id for r in far.collect()] == [
+        r.id for r in skewed.orderBy(*order).offset(59 * 300).limit(300).collect()
+    ]
+    assert "limit=18000" not in far._jdf.queryExecution().executedPlan().toString()
+    keyed = page_of(skewed, ordering("id"), 2, 300, key="id", after=299).items
+    assert [r.id for r in keyed.collect()] == list(range(300, 600))
     for page, limit in [(0, 10), (1, 0), (1, 501)]:
         with pytest.raises(ValueError):
             page_of(skewed, order, page, limit)
 
 
+@pytest.mark.parametrize("n", [3, 700, 30000])
+def test_first_by_equals_the_sorted_limit(skewed, n):
+    order = ordering("id", "v")
+    doubled = skewed.unionByName(skewed)
+    assert first_by(doubled, "id", order, n, one_in=8).collect() == doubled.orderBy(*order).limit(n).collect()
+
+
 def test_sample_depends_on_the_seed_only(skewed):
     def draw(df, seed):
         return [r.id for r in sample_rows(df, "id", 20, seed).collect()]

@@ -79,6 +79,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     page = serving.sugar_page(stages.sugar_mart(spark, SF), category="promo", min_sugars=10)
     text = plan(page.items)
     assert "EqualTo(category,promo)" in text and "GreaterThanOrEqual(sugars_100g,10" in text
+    grades = serving.grade_page(stages.grade_mart(spark, SF), grade="c")
+    assert "EqualTo(nutrition_grade_fr,C)" in plan(grades.items)
     means = plan(silver.category_profile(stages.enriched(spark, SF)))
     read = re.search(r"ReadSchema: struct<(.*?)>", means).group(1)
     assert {c.split(":")[0] for c in read.split(",")} == {

@@ -9,12 +9,12 @@ from larder import __main__ as cli
 from larder.operators.shape import stamp_date
 from larder.plans import bronze, gold, silver
 from larder.plans.runner import run_steps
-from larder.schemas import MART_SCHEMAS, MART_SORT_KEYS
+from larder.schemas import MART_LOOKUP_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS
 from larder.sources import scratch
 from larder.sources.delimited import read_text_table
 from larder.sources.export import export_csv
 from larder.sources.jdbc import Database, read_jdbc, write_jdbc
-from larder.sources.lake import read_dated, write_clustered, write_dated
+from larder.sources.lake import read_dated, write_clustered, write_date, write_dated
 from larder.sources.tables import ensure_database, list_databases, tables_exist
 
 FIRST, SECOND = date(2024, 5, 13), date(2024, 5, 14)
@@ -62,8 +62,9 @@ def test_refine_publishes_every_table_twice(spark, golden):
         spark, f"{golden.folder}/bronze_p", f"{golden.folder}/bronze_c", target, database,
         golden_data.DAY,
     )
-    assert rows == {"products_clean": 7, "countries_clean": 4, "products_enriched": 10}
-    assert all(tables_exist(spark, [f"{database}.{name}" for name in rows]).values())
+    assert rows.ok
+    assert rows.results == {"products_clean": 7, "countries_clean": 4, "products_enriched": 10}
+    assert all(tables_exist(spark, [f"{database}.{name}" for name in rows.results]).values())
     assert database in [r[0] for r in list_databases(spark).collect()]
     stored = spark.table(f"{database}.products_enriched")
     assert stored.count() == read_dated(spark, f"{target}/products_enriched", golden_data.DAY).count()
@@ -81,11 +82,63 @@ def test_refine_survives_a_failing_rank(spark, golden, monkeypatch):
         spark, f"{golden.folder}/bronze_p", f"{golden.folder}/bronze_c",
         scratch.new_path(spark, "norank_silver"), database, golden_data.DAY,
     )
-    assert rows["products_enriched"] == 10
+    assert rows.results["products_enriched"] == 10
+    assert rows.errors == {"sugar_rank_in_category": "no rank"}
     ranks = spark.table(f"{database}.products_enriched").select("sugar_rank_in_category")
     assert ranks.dtypes == [("sugar_rank_in_category", "bigint")] and ranks.dropna().count() == 0
 
 
+def test_refine_survives_a_rank_that_fails_while_it_is_written(spark, golden, monkeypatch):
+    def late(df, *_, **__):
+        return df.withColumn("sugar_rank_in_category", F.raise_error(F.lit("late")).cast("bigint"))
+
+    monkeypatch.setattr(silver, "with_sugar_rank", late)
+    database = scratch.new_path(spark, "laterank").rsplit("/", 1)[-1].replace("-", "_")
+    ensure_database(spark, database, scratch.new_path(spark, "laterank_db"))
+    report = silver.refine(
+        spark, f"{golden.folder}/bronze_p", f"{golden.folder}/bronze_c",
+        scratch.new_path(spark, "laterank_silver"), database, golden_data.DAY,
+    )
+    assert not report.ok and "late" in report.errors["sugar_rank_in_category"]
+    ranks = spark.table(f"{database}.products_enriched").select("sugar_rank_in_category")
+    assert ranks.count() == 10 and ranks.dropna().count() == 0
+
+
+def test_empty_rerun_leaves_an_empty_date(spark, tmp_path):
+    path = str(tmp_path / "rerun")
+    ids = spark.range(5)
+    write_date(ids, path, FIRST)
+    for rows in (7, 0, 3):
+        write_date(spark.range(rows), path, SECOND)
+        assert read_dated(spark, path, SECOND, ids.schema).count() == rows
+        assert read_dated(spark, path, FIRST, ids.schema).count() == 5
+
+
+def test_header_only_file_replaces_the_run_before(spark, tmp_path):
+    products, _ = golden_data.write_files(str(tmp_path))
+    target = str(tmp_path / "out")
+    bronze.ingest_products(spark, products, target, FIRST)
+    empty = tmp_path / "empty.tsv"
+    with open(products, encoding="utf-8") as file:
+        empty.write_text(file.readline(), encoding="utf-8")
+    metrics = bronze.ingest_products(spark, str(empty), target, FIRST)
+    assert (metrics["rows_read"], metrics["rows_written"]) == (0, 0)
+    assert not bronze.check_volumes(spark, {"products": target}, FIRST, min_rows={"products": 1}).first().ok
+
+
+def test_hot_pair_of_the_feature_mart_fills_several_files(spark, tmp_path, uncoalesced):
+    path = str(tmp_path / "features")
+    rows = spark.range(0, 8000, 1, 4).select(
+        F.when(F.col("id") % 5 < 4, "C").otherwise("D").alias("nutrition_grade_fr"),
+        F.when(F.col("id") % 5 == 4, F.lit(None)).otherwise(F.lit("snacks")).alias("main_category"),
+        F.format_string("%05d", F.col("id")).alias("code"),
+    )
+    lookup, *spread = MART_LOOKUP_COLUMNS["dm_ml_nutriscore_prediction"]
+    write_clustered(rows, path, lookup, spread)
+    sizes = [r[1] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2 * 8000 / len(sizes)
+
+
 def test_marts_publish_and_export(spark, golden, tmp_path):
     path, output = str(tmp_path / "marts"), str(tmp_path / "csv")
     report = gold.publish_marts(golden.enriched, path, top_n=2).raise_on_error()
@@ -93,7 +146,7 @@ def test_marts_publish_and_export(spark, golden, tmp_path):
         "dm_sugar_by_category": 5, "dm_nutriscore_by_country": 6, "dm_additives_analysis": 4,
         "dm_ml_nutriscore_prediction": 7,
     }
-    assert gold.export_marts(spark, path, output).results == report.results
+    assert gold.export_marts(spark, path, output, single_file=True).results == report.results
     (file,) = (tmp_path / "csv" / "dm_sugar_by_category").glob("*.csv")
     assert file.read_bytes() == (
         b"\xef\xbb\xbfcategory,product_name,sugars_100g,nutrition_grade_fr,sugar_rank_in_category\r\n"
@@ -116,7 +169,7 @@ def test_one_failing_mart_leaves_the_others(golden, tmp_path):
 def test_large_export_is_ordered_across_files(spark, tmp_path, uncoalesced):
     path = tmp_path / "export"
     rows = spark.range(0, 5000, 1, 4).select((F.lit(4999) - F.col("id")).alias("id"), F.lit('a "b", c').alias("t"))
-    assert export_csv(rows, str(path), ["id"], single_file_rows=100) == 5000
+    assert export_csv(rows, str(path), ["id"]) == 5000
     files = sorted(path.glob("part-*.csv"))
     assert len(files) > 1
     lines = []
@@ -197,6 +250,7 @@ def test_command_line_runs_the_jobs_in_order(spark, tmp_path):
     assert report.ok and report.results["silver"]["products_enriched"] == 10
     report = job("report", "--bronze", tmp_path / "b", "--database", database, *dated)
     assert report.ok and report.results["countries matched"][0]["matched"] == 8
+    assert sum(r["rows"] for r in report.results["products per grade"]) == 7
     assert [r["removed"] for r in report.results["rejected rows"]] == [1, 2, 2, 1]
     assert report.results["most frequent additives"][0]["additive"] == "en:e322"
     # Ten product-country rows, one of them without sugar.
@@ -206,6 +260,9 @@ def test_command_line_runs_the_jobs_in_order(spark, tmp_path):
     report = job("export", "--gold", tmp_path / "g", "--output", tmp_path / "o",
                  "--only", "dm_additives_analysis")
     assert report.results == {"dm_additives_analysis": 4}
+    lenient = job("ingest", "--bronze", tmp_path / "b", "--products", products, "--countries", countries,
+                  "--min-products", 13, "--min-countries", 5, "--encoding", "utf-8", *dated)
+    assert lenient.ok
     missing = job("ingest", "--bronze", tmp_path / "b2", "--products", tmp_path / "none.tsv",
                   "--source", "products", *dated)
     assert "products" in missing.errors and not missing.results
