@@ -48,7 +48,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 1), i -> array_to_string(ws[i:i + 2], ' ')) END) AS sh
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS sh
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (
