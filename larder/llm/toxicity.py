@@ -35,8 +35,8 @@ from larder.llm.nptext import Chunk, Hasher, chunks, words
 LENGTHS, SLACK, DECAY = (3, 4), 2, 0.7
 #: Labelled documents of either kind and bytes of each that are learnt from.
 SAMPLE, SAMPLE_BYTES = 2_500, 16_384
-LANDMARKS, ROUNDS, STEPS = 160, 4, 120
-NEGATIVES, WITNESSES, MARGIN_COST = 15_000, 12, 20.0
+LANDMARKS, ROUNDS, STEPS = 240, 4, 30
+NEGATIVES, WITNESSES, MARGIN_COST = 15_000, 12, 10.0
 
 _BITS = 5
 #: Places of the subsequences of 4 letters, then of 3.
@@ -154,16 +154,26 @@ class Kernel:
 
 
 def _fit_margin(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Weights (the last is the bias) of least squared hinge loss, by accelerated descent."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)])
-    curvature = np.linalg.eigvalsh((x * cost[:, None]).T @ x)[-1] * 2 + 1
-    w = ahead = start
-    for step in range(STEPS):
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        gradient = np.append(ahead[:-1], 0) - 2 * x.T @ (cost * slack * y)
-        new = ahead - gradient / curvature
-        ahead = new + step / (step + 3) * (new - w)
-        w = new
+    """Weights (the last is the bias) of least squared hinge loss, by Newton steps on the rows within the margin."""
+    x = np.column_stack([x, np.ones(len(x), x.dtype)]).astype(np.float64)
+    penalty = np.eye(x.shape[1])
+    penalty[-1, -1] = 1e-6
+
+    def loss(w):
+        return w @ penalty @ w + cost @ np.maximum(0, 1 - y * (x @ w)) ** 2
+
+    w, best = start, loss(start)
+    for _ in range(STEPS):
+        within = y * (x @ w) < 1
+        weighted = x[within] * cost[within, None]
+        new = np.linalg.solve(penalty + weighted.T @ x[within], weighted.T @ y[within])
+        step, found = 1.0, loss(new)
+        while found >= best and step > 1e-3:
+            step /= 2
+            found = loss(w + step * (new - w))
+        if found >= best * (1 - 1e-9):
+            break
+        w, best = w + step * (new - w), found
     return w
 
 
@@ -236,15 +246,24 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
             seen[label][word] = seen[label].get(word, 0) + 1
     clean = seen[False]
     odds = {w: n / (1 + 4 * clean.get(w, 0)) for w, n in seen[True].items()}
-    telling = sorted(odds, key=lambda w: (-odds[w], w))[: LANDMARKS * 3 // 4]
-    common = sorted(clean, key=lambda w: (-clean[w], w))[: LANDMARKS - len(telling)]
-    kernel = Kernel(list(dict.fromkeys(telling + common)))
+    telling = sorted(odds, key=lambda w: (-odds[w], w))[: LANDMARKS // 2]
+    common = sorted(clean, key=lambda w: (-clean[w], w))[: LANDMARKS // 4]
+    # Clean words that look like telling ones are landmarks too, so that the two can be told apart.
+    usual = [w for w in sorted(clean) if clean[w] >= 2]
+    alike = Kernel(telling[: LANDMARKS // 4]).of(usual).max(1) if usual else np.zeros(0)
+    near = [usual[i] for i in np.argsort(-alike, kind="stable")[: LANDMARKS // 4]]
+    kernel = Kernel(list(dict.fromkeys(telling + common + near)))
 
     rng = np.random.default_rng(20240601)
-    clean_words = sorted(clean)
-    picked = sorted(rng.choice(len(clean_words), min(NEGATIVES, len(clean_words)), replace=False))
-    negatives = [clean_words[i] for i in picked]
-    bags = [sorted(d, key=lambda w: (-odds[w], w))[:WITNESSES] for d, t in zip(documents, toxic, strict=True) if t and d]
+    n_clean = int((~toxic).sum())
+    clean_words = sorted(clean, key=lambda w: (-clean[w], w))
+    some = rng.choice(len(clean_words), min(NEGATIVES, len(clean_words)), replace=False)
+    negatives = [clean_words[i] for i in sorted({*range(min(NEGATIVES // 10, len(clean_words))), *some})]
+    bags = []
+    for document, label in zip(documents, toxic.tolist(), strict=True):
+        if label and document:
+            bag = sorted(document, key=lambda w: (-odds[w], w))[:WITNESSES]
+            bags.append([w for w in bag if odds[w] >= odds[bag[0]] / 2])
     pool = sorted({w for bag in bags for w in bag})
     place = {w: i for i, w in enumerate(pool)}
     pool_features = kernel.features(pool)
@@ -255,8 +274,10 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
         chosen, times = np.unique([place[w] for w in witness], return_counts=True)
         x = np.concatenate([pool_features[chosen], negative_features])
         y = np.concatenate([np.ones(len(chosen)), -np.ones(len(negatives))])
-        cost = np.concatenate([times / len(bags), np.full(len(negatives), 1 / len(negatives))])
-        weights = _fit_margin(x, y, MARGIN_COST * cost * len(bags) / 10, weights)
+        # A word counts by the documents that it speaks for, both kinds of documents alike.
+        spoken = np.array([clean[w] for w in negatives]) * (len(bags) / n_clean)
+        cost = MARGIN_COST * np.concatenate([times, spoken])
+        weights = _fit_margin(x, y, cost, weights)
         scores = pool_features @ weights[:-1]
         witness = [max(bag, key=lambda w: (scores[place[w]], w)) for bag in bags]
         model = Model(kernel.per_subsequence(weights[:-1]), float(weights[-1]))
