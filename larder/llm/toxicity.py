@@ -1,7 +1,7 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-The kernel of two words compares their subsequences of ``LENGTHS`` letters that span at most
-``SLACK`` letters more, each weighted by ``DECAY`` to its span.  An insult with characters put
+The kernel of two words compares their subsequences of ``LENGTHS`` letters that span at
+most a few letters more, each weighted by ``DECAY`` to its span.  An insult with characters put
 in, or left out of it, or with another ending still shares most of them.  Words near landmark
 words get Nyström features; a sentence's score is that of its most telling word, and a
 document's is that of its most telling sentence.
@@ -32,15 +32,16 @@ from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, Hasher, chunks, words
 
-LENGTHS, SLACK, DECAY = (3, 4), 2, 0.7
+#: Letters of a subsequence and how many more it may span; weight for each letter spanned.
+LENGTHS, DECAY = {3: 2, 4: 2, 6: 1}, 0.8
 #: Labelled documents of either kind and bytes of each that are learnt from.
 SAMPLE, SAMPLE_BYTES = 2_500, 16_384
 LANDMARKS, ROUNDS, STEPS = 240, 4, 30
 NEGATIVES, WITNESSES, MARGIN_COST = 15_000, 12, 10.0
 
 _BITS = 5
-#: Places of the subsequences of 4 letters, then of 3.
-_TABLE = (1 << 4 * _BITS) + (1 << 3 * _BITS)
+_PLACES = 1 << 20
+_TABLE = _PLACES * len(LENGTHS)
 _class = np.zeros(256, np.int64)
 for _c in range(26):
     _class[[ord("a") + _c, ord("A") + _c]] = _c + 1
@@ -51,9 +52,9 @@ for _c in range(0x80, 0x100):
 def _patterns() -> list[tuple[int, ...]]:
     """Offsets of the letters of every subsequence that starts at offset 0."""
     out = []
-    for length in LENGTHS:
-        for inner in range(1, 1 << (length + SLACK - 1)):
-            offsets = (0, *[i + 1 for i in range(length + SLACK - 1) if inner >> i & 1])
+    for length, slack in LENGTHS.items():
+        for inner in range(1, 1 << (length + slack - 1)):
+            offsets = (0, *[i + 1 for i in range(length + slack - 1) if inner >> i & 1])
             if len(offsets) == length:
                 out.append(offsets)
     return out
@@ -75,9 +76,9 @@ def _codes(letters: np.ndarray, word: np.ndarray, offsets: tuple[int, ...]) -> t
         code = (code << _BITS) | part
     starts = np.flatnonzero(fits)
     code = code[starts]
-    if len(offsets) == 3:
-        code += 1 << 4 * _BITS
-    return starts, code
+    if len(offsets) > 4:  # more letters than there are places for: hashed
+        code = ((code * 0x9E3779B97F4A7C1) >> 24) % _PLACES
+    return starts, code + _PLACES * list(LENGTHS).index(len(offsets))
 
 
 def _letters_only(data: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
