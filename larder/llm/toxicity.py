@@ -145,7 +145,7 @@ class Kernel:
         return out
 
     def features(self, vocabulary: list[bytes]) -> np.ndarray:
-        return self.of(vocabulary) @ self.whiten
+        return self.of(vocabulary) @ self.whiten.astype(np.float32)
 
     def per_subsequence(self, weights: np.ndarray) -> np.ndarray:
         """The table that scores words as ``features`` times ``weights`` does."""
@@ -156,7 +156,7 @@ class Kernel:
 
 def _fit_margin(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Weights (the last is the bias) of least squared hinge loss, by Newton steps on the rows within the margin."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)]).astype(np.float64)
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     penalty = np.eye(x.shape[1])
     penalty[-1, -1] = 1e-6
 
@@ -166,8 +166,10 @@ def _fit_margin(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarra
     w, best = start, loss(start)
     for _ in range(STEPS):
         within = y * (x @ w) < 1
-        weighted = x[within] * cost[within, None]
-        new = np.linalg.solve(penalty + weighted.T @ x[within], weighted.T @ y[within])
+        weighted = x[within] * cost[within, None].astype(x.dtype)
+        new = np.linalg.solve(
+            penalty + (weighted.T @ x[within]).astype(np.float64), weighted.T @ y[within]
+        )
         step, found = 1.0, loss(new)
         while found >= best and step > 1e-3:
             step /= 2
@@ -194,6 +196,13 @@ class Model:
             )
         return total / _norms(np.bincount(word, minlength=n)) + self.bias
 
+    def scores_of(self, vocabulary: list[bytes]) -> np.ndarray:
+        parts = [np.zeros(0)]
+        for first in range(0, len(vocabulary), 16_384):
+            part = vocabulary[first : first + 16_384]
+            parts.append(self.word_scores(*_laid_out(part), len(part)))
+        return np.concatenate(parts)
+
     def margins(self, chunk: Chunk) -> np.ndarray:
         """Of each text the largest score of a word; texts without words get -2."""
         out = np.full(len(chunk.bounds) - 1, -2.0)
@@ -240,13 +249,19 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
     """A model of the labelled texts; None without both labels."""
     if not toxic.any() or toxic.all():
         return None
-    documents = [{w for s in _sentences(t) for w in s} for t in texts]
-    seen = {True: {}, False: {}}
-    for document, label in zip(documents, toxic.tolist(), strict=True):
-        for word in document:
-            seen[label][word] = seen[label].get(word, 0) + 1
-    clean = seen[False]
-    odds = {w: n / (1 + 4 * clean.get(w, 0)) for w, n in seen[True].items()}
+    number: dict[bytes, int] = {}
+    documents = [
+        np.array(sorted({number.setdefault(w, len(number)) for s in _sentences(t) for w in s}), np.int32)
+        for t in texts
+    ]
+    names = list(number)
+    counts = {}
+    for label in (True, False):
+        chosen = [d for d, t in zip(documents, toxic.tolist(), strict=True) if t is label]
+        counts[label] = np.bincount(np.concatenate(chosen), minlength=len(names))
+    clean = {names[i]: int(counts[False][i]) for i in np.flatnonzero(counts[False])}
+    told = counts[True] / (1 + 4 * counts[False])
+    odds = {names[i]: float(told[i]) for i in np.flatnonzero(counts[True])}
     telling = sorted(odds, key=lambda w: (-odds[w], w))[: LANDMARKS // 2]
     common = sorted(clean, key=lambda w: (-clean[w], w))[: LANDMARKS // 4]
     # Clean words that look like telling ones are landmarks too, so that the two can be told apart.
@@ -262,8 +277,9 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
     negatives = [clean_words[i] for i in sorted({*range(min(NEGATIVES // 10, len(clean_words))), *some})]
     bags = []
     for document, label in zip(documents, toxic.tolist(), strict=True):
-        if label and document:
-            bag = sorted(document, key=lambda w: (-odds[w], w))[:WITNESSES]
+        if label and len(document):
+            words_ = [names[i] for i in document[np.argsort(-told[document], kind="stable")[: 4 * WITNESSES]]]
+            bag = sorted(words_, key=lambda w: (-odds[w], w))[:WITNESSES]
             bags.append([w for w in bag if odds[w] >= odds[bag[0]] / 2])
     pool = sorted({w for bag in bags for w in bag})
     place = {w: i for i, w in enumerate(pool)}
@@ -282,8 +298,7 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
         scores = pool_features @ weights[:-1]
         witness = [max(bag, key=lambda w: (scores[place[w]], w)) for bag in bags]
         model = Model(kernel.per_subsequence(weights[:-1]), float(weights[-1]))
-        letters, word = _laid_out(clean_words)
-        worst = np.argsort(-model.word_scores(letters, word, len(clean_words)))[: NEGATIVES // 10]
+        worst = np.argsort(-model.scores_of(clean_words))[: NEGATIVES // 10]
         fresh = sorted({clean_words[i] for i in worst} - set(negatives))
         if fresh:
             negatives += fresh
