@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, chunks, text_of, words
+from larder.llm.tables import bounded_sample
 
 #: Most documents per language, and most bytes of all its samples, that a model is trained on.
 SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 8_000_000
@@ -168,27 +169,20 @@ def proportions(loglik: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def trained(docs: DataFrame) -> Models | None:
     """Models of the learning documents' languages, from bounded samples by hash of doc_id."""
     learning = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = [
-        row["lang"]
+    languages = {
+        row["lang"]: row["count"]
         for row in learning.groupBy("lang")
         .count()
         .orderBy(F.desc("count"), "lang")
         .limit(LANGUAGES)
         .collect()
-    ]
+    }
     samples: dict[str, list[bytes]] = {}
     share = max(SAMPLE_BYTES // max(SAMPLE_DOCS, 1), 1)
-    for language in languages:
-        rows = (
-            learning.filter(F.col("lang") == language)
-            .select(
-                F.xxhash64("doc_id").alias("order"),
-                F.substring(F.encode("text", "utf-8"), 1, share).alias("piece"),
-            )
-            .orderBy("order", "piece")
-            .limit(SAMPLE_DOCS)
-            .select("piece")
-        )
+    piece = F.substring(F.encode("text", "utf-8"), 1, share).alias("piece")
+    for language, total in languages.items():
+        rows = learning.filter(F.col("lang") == language).select("doc_id", piece)
+        rows = bounded_sample(rows, ["doc_id", "piece"], SAMPLE_DOCS, total)
         samples[language] = [bytes(row["piece"]) for row in rows.collect()]
     return Models(samples) if samples else None
 

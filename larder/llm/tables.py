@@ -60,14 +60,28 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
 
 
+def bounded_sample(df: DataFrame, keys: list[str], n: int, total: int, seed: int = 20240601) -> DataFrame:
+    """At most ``n`` of the ``total`` rows of ``df``, those of smallest hash of ``keys``.
+
+    Only rows whose hash is low enough for about ``2 * n`` of them are sorted, so that no
+    task sends ``n`` rows however many tasks there are.
+    """
+    steps = 1 << 30
+    low = steps if 2 * n >= total else max(steps * 2 * n // total, 1)
+    order = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(steps))
+    return df.filter(order < low).orderBy(order, *keys).limit(n)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     The shuffles that made it are no longer needed then; collecting the driver's garbage
     lets Spark delete their files at once instead of at some later time.
     """
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
     out = store(df, label)
+    del df
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
     return out

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, Hasher, chunks, words
+from larder.llm.tables import bounded_sample
 
 #: Letters of a subsequence and how many more it may span; weight for each letter spanned.
 LENGTHS, DECAY = {3: 2, 4: 2, 6: 1}, 0.8
@@ -317,7 +318,8 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     marked = marked.filter(~held_out())
     chosen = None
     for label in (0, 1):  # chosen by id first, so that only the chosen texts are moved
-        some = marked.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        some = marked.filter(F.col("toxic") == label)
+        some = bounded_sample(some, ["doc_id"], SAMPLE, some.count())
         chosen = some if chosen is None else chosen.unionByName(some)
     piece = F.substring(F.encode("text", "utf-8"), 1, SAMPLE_BYTES).alias("piece")
     rows = (
