@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 #: Entries in each of the two generations of the piece cache, longest cached piece, pairs.
-PIECES, CACHED_BYTES, PAIRS = 400_000, 64, 1_000_000
+PIECES, CACHED_BYTES, PAIRS = 120_000, 64, 300_000
 _NEVER = 1 << 40
 
 
@@ -189,9 +189,8 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
 
 def encoded(path: str, pattern: str) -> Column:
     """Struct (n_tokens, ids_sha256, decoded_sha256) of the column ``text``."""
-    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    @arrow_udf(f"struct<{kind.replace(' ', ':').replace(',:', ',')}>")
+    @arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = vocabulary(path, pattern)
         for texts in batches:
