@@ -16,6 +16,7 @@ import tiktoken
 from larder.llm import bpe, language, licenses, mixing, quality, toxicity
 from larder.llm.nptext import Hasher, chunks, words
 from larder.llm.queries import RANKS
+from larder.llm.tables import bounded_sample
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -51,6 +52,15 @@ def test_words_and_hashes_of_chunks():
         assert len({h for _, h in names}) == len({w for w, _ in names})
 
 
+def test_bounded_sample_is_exact_in_size_and_repeats(spark):
+    rows = spark.range(10_000)
+    first = [r.id for r in bounded_sample(rows, ["id"], 50, 10_000).collect()]
+    assert len(first) == 50
+    assert [r.id for r in bounded_sample(rows.repartition(7), ["id"], 50, 10_000).collect()] == first
+    assert bounded_sample(rows, ["id"], 20_000, 10_000).count() == 10_000
+    assert bounded_sample(rows.limit(0), ["id"], 5, 0).count() == 0
+
+
 # --- toxicity ------------------------------------------------------------------------
 
 BAD = ["grumblewort", "snivelbag", "wretchling"]
