@@ -3,14 +3,16 @@
 1. The shingle set of every whole text is hashed, with a signature of ``COORDINATES`` minima.
    Equal sets become one node; copies are never paired.
 2. Every node is posted under each (coordinate, value) pair.  Pairs of sets as similar as
-   asked agree on ``MATCHES`` of the coordinates but for a chance of about 1e-6 per link.
+   asked agree on ``m`` of the coordinates but for a chance of ``MISSED`` per link.
    Coordinate values are ordered from rare to frequent, so two such nodes share one among
-   their first ``COORDINATES - MATCHES + 1`` (the prefix); the frequent rest is skipped.
-3. In each posting list every node is paired with a few hubs of another group, never with
-   all.  Collisions of the two signatures are counted, pairs of at least ``MATCHES`` go to the
-   exact check on full shingle sets, and links merge groups.  Then the hubs leave the
-   list, lists of one group are done, and the number of hubs grows, until no list is left: every
-   pair that shares a prefix value was compared or already connected.
+   their first ``COORDINATES - m + 1`` (the prefix); the frequent rest is skipped.
+3. In each posting list every node is paired with one hub, never with all others.  Collisions of
+   the two signatures are counted, pairs of at least ``m`` go to the exact check on full
+   shingle sets, and links merge groups.  Lists of one group are done.
+   In the rest, members outside the list's largest group are compared with all others, block
+   by block, by sketches of ``SKETCH`` coordinates; only pairs of different groups that agree on
+   enough of them leave the task, for the exact check.  A pair is left to one list of those
+   it shares.  So every pair that shares a prefix value was compared or already connected.
 4. A group is a connected component over nodes; documents look up that of their set.
 
 * Null and empty texts, and texts without words, have no shingles and stay alone.
@@ -23,6 +25,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +37,16 @@ from larder.llm.components import components
 from larder.llm.nptext import Chunk, Hasher, chunks, mixed, text_of, words
 from larder.llm.tables import stored, whole_row
 
-COORDINATES, MATCHES = 32, 16
-PREFIX = COORDINATES - MATCHES + 1
-#: Hubs per list in the first round, and how much their number grows.
-HUBS, GROWTH = 1, 4
-#: Pairs and texts handed to a Python worker at once.
+COORDINATES = 32
+#: Chance that a link at the threshold agrees on fewer coordinates than are asked for.
+MISSED = 1e-6
+#: Coordinates of the sketches of nodes in lists, and nodes in a block.
+SKETCH, BLOCK = 256, 512
 SEED = 20240601
 
 _rng = np.random.default_rng(SEED)
-_FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64)
+_FACTORS = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64)
 
 
 def shingles(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,20 +85,27 @@ def _set_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _signatures(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Tokens (coordinate << 32 | low half of the minimum), a row for each text with shingles."""
+def _minima(grams: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
+    """The smallest hash of each text's shingles under each of ``n`` functions; 0 without shingles."""
     present = np.flatnonzero(np.diff(bounds))
-    out = np.zeros((len(bounds) - 1, COORDINATES), np.int64)
-    for c in range(COORDINATES):
+    out = np.zeros((len(bounds) - 1, n), np.uint64)
+    for c in range(n):
         if len(present):
             values = grams * _FACTORS[c]
             values ^= values >> np.uint64(29)
             values *= _SHIFTS[c] | np.uint64(1)
-            least = np.minimum.reduceat(values, bounds[:-1][present])
-            out[present, c] = (least >> np.uint64(32)).astype(np.int64) | (c << 32)
+            out[present, c] = np.minimum.reduceat(values, bounds[:-1][present])
     return out
 
 
+def _signatures(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Tokens (coordinate << 32 | high half of the minimum), a row for each text."""
+    least = (_minima(grams, bounds, COORDINATES) >> np.uint64(32)).astype(np.int64)
+    tokens = least | (np.arange(COORDINATES) << 32)
+    tokens[np.diff(bounds) == 0] = 0
+    return tokens
+
+
 def fingerprint(k: int) -> Column:
     """Struct (n, hi, lo, tokens) of the column ``text``: set size, set digest, signature."""
 
@@ -121,20 +131,100 @@ def fingerprint(k: int) -> Column:
 
 
 def _shingle_set(k: int) -> Column:
-    """The sorted shingle hashes of the column ``text``, 8 bytes each."""
+    """Struct (set, sketch) of the column ``text``: its sorted shingle hashes, 8 bytes each, and
+    two bytes of each of ``SKETCH`` minima."""
 
-    @arrow_udf("binary")
+    @arrow_udf("struct<set:binary,sketch:binary>")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sets = []
+            sets, sketches = [], []
             for chunk in chunks(texts):
                 grams, bounds = shingles(chunk, k)
                 sets += [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.array(sets, pa.binary())
+                short = (_minima(grams, bounds, SKETCH) >> np.uint64(40)).astype(np.uint16)
+                sketches += [row.tobytes() for row in short]
+            yield pa.StructArray.from_arrays(
+                [pa.array(sets, pa.binary()), pa.array(sketches, pa.binary())], ["set", "sketch"]
+            )
 
     return collect(F.col("text"))
 
 
+def _matches(percent: int, n: int = COORDINATES) -> int:
+    """How many of ``n`` coordinates a pair at the threshold agrees on, but for ``MISSED``."""
+    share, below = percent / 100, 0.0
+    for found in range(n):
+        below += comb(n, found) * share**found * (1 - share) ** (n - found)
+        if below > MISSED:
+            return max(found, 1)
+    return n
+
+
+def _block_pairs(percent: int):
+    """Pairs of different groups in the two blocks of a task that may be similar."""
+    enough = _matches(percent, SKETCH)
+
+    def compare(table: pa.Table) -> pa.Table:
+        token, i, j = (table.column(c)[0].as_py() for c in ("token", "i", "j"))
+        own, node, comp = (table.column(c).to_numpy() for c in ("own", "node", "comp"))
+        sketch = np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in table.column("sketch")])
+        prefix = table.column("prefix").to_pylist()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        a, b = [], []
+        for x in left:
+            others = right[comp[right] != comp[x]]
+            if i == j:
+                others = others[node[others] > node[x]]
+            agree = np.count_nonzero(sketch[others] == sketch[x], axis=1)
+            for y in others[agree >= enough]:
+                # Of the lists that the two share, the one of the smallest value takes the pair.
+                if min(set(prefix[x]) & set(prefix[y])) == token:
+                    low, high = sorted((int(node[x]), int(node[y])))
+                    a.append(low), b.append(high)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def _rest_pairs(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of different groups in lists (token, node, comp) that hold several."""
+    groups = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
+    largest = (
+        groups.groupBy("token")
+        .agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"))
+        .filter("all > top.size")
+        .selectExpr(
+            "token",
+            "top.comp as major",
+            f"cast(ceil((all - top.size) / {BLOCK}) as int) as n_other",
+            f"cast(ceil(top.size / {BLOCK}) as int) as n_major",
+        )
+    )
+    prefix = lists.groupBy("node").agg(F.collect_list("token").alias("prefix"))
+    dealt = lists.join(largest, "token").selectExpr(
+        "token",
+        "node",
+        "comp",
+        "comp = major as is_major",
+        "n_other",
+        "n_major",
+        "pmod(xxhash64(node), n_other) as other_block",
+        "pmod(xxhash64(node), n_major) + n_other as major_block",
+    )
+    paired = dealt.selectExpr(
+        "token",
+        "node",
+        "comp",
+        "if(is_major, major_block, other_block) as own",
+        "explode(sequence(0, if(is_major, n_other, n_other + n_major) - 1)) as partner",
+    )
+    blocks = paired.selectExpr(
+        "token", "node", "comp", "own", "least(own, partner) as i", "greatest(own, partner) as j"
+    )
+    filled = blocks.join(sets.select("node", "sketch"), "node").join(prefix, "node")
+    return filled.groupBy("token", "i", "j").applyInArrow(_block_pairs(percent), "a bigint, b bigint")
+
+
 def _similar(percent: int) -> Column:
     """Whether 100 * intersection >= percent * union, of the sets ``set_a`` and ``set_b``."""
 
@@ -152,7 +242,7 @@ def _similar(percent: int) -> Column:
     return compare(F.col("set_a"), F.col("set_b"))
 
 
-def _posting_lists(nodes: DataFrame) -> DataFrame:
+def _posting_lists(nodes: DataFrame, percent: int) -> DataFrame:
     """(token, node) for the rare values of each node that some other node has too."""
     posted = nodes.select("node", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -161,7 +251,7 @@ def _posting_lists(nodes: DataFrame) -> DataFrame:
     )
     prefix = counted.groupBy("node").agg(F.array_sort(F.collect_list("value")).alias("all"))
     return (
-        prefix.select("node", F.explode(F.slice("all", 1, PREFIX)).alias("value"))
+        prefix.select("node", F.explode(F.slice("all", 1, COORDINATES - _matches(percent) + 1)).alias("value"))
         .filter("value.df > 1")
         .select("value.token", "node")
     )
@@ -183,7 +273,7 @@ def _candidates(lists: DataFrame, hubs: DataFrame, nodes: DataFrame, percent: in
         .join(two, "b")
         .filter(
             (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            & (collisions >= MATCHES)
+            & (collisions >= _matches(percent))
         )
         .select("a", "b")
     )
@@ -206,47 +296,30 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     )
     # Numbered once and written, so that the numbers stay the same for all later reads.
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    lists = stored(_posting_lists(nodes).withColumn("comp", F.col("node")), "postings")
+    lists = stored(_posting_lists(nodes, percent).withColumn("comp", F.col("node")), "postings")
     wanted = lists.select("node").distinct().join(nodes, "node").select("node", "least_id", "hi", "lo")
     texts = docs.select("doc_id", "text").join(
         wanted.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi"
     )
-    made = texts.select(fingerprint_digest(k).alias("d"), _shingle_set(k).alias("set"))
-    sets = made.select("d.hi", "d.lo", "set").join(wanted, ["hi", "lo"]).dropDuplicates(["node"])
-    sets = stored(sets.select("node", "set"), "sets")
-
-    links, comps, hubs_per_list = None, None, HUBS
-    while not lists.isEmpty():
-        open_lists = (
-            lists.groupBy("token")
-            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-            .filter("low < high")
-        )
-        lists = stored(lists.join(open_lists.select("token"), "token"), "postings")
-        bucket = F.pmod(F.xxhash64("node"), F.lit(hubs_per_list))
-        hubs = lists.groupBy("token", bucket.alias("bucket")).agg(
-            F.min(F.struct("node", "comp")).alias("hub")
-        )
-        hubs = stored(hubs.select("token", "hub.*"), "hubs")
-        found = stored(_candidates(lists, hubs, nodes, percent), "candidates")
-        found = stored(_linked(found, sets, percent), "links")
-        links = found if links is None else stored(links.unionByName(found), "links")
-        comps = components(links)
-        rest = lists.join(hubs, ["token", "node"], "left_anti").select("token", "node")
-        rest = rest.join(comps, "node", "left").select(
-            "token", "node", F.coalesce("comp", "node").alias("comp")
-        )
-        lists = stored(rest, "postings")
-        hubs_per_list *= GROWTH
+    made = texts.select(fingerprint_digest(k).alias("d"), _shingle_set(k).alias("s"))
+    sets = made.select("d.hi", "d.lo", "s.*").join(wanted, ["hi", "lo"]).dropDuplicates(["node"])
+    sets = stored(sets.select("node", "set", "sketch"), "sets")
+
+    hubs = lists.groupBy("token").agg(F.min(F.struct("node", "comp")).alias("hub")).select("token", "hub.*")
+    links = stored(_linked(_candidates(lists, hubs, nodes, percent), sets, percent), "links")
+    comps = components(links)
+    lists = lists.drop("comp").join(comps, "node", "left")
+    lists = stored(lists.select("token", "node", F.coalesce("comp", "node").alias("comp")), "postings")
+    rest = stored(_rest_pairs(lists, sets, percent), "candidates")
+    more = stored(_linked(rest, sets, percent), "links")
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
 
     member = nodes.select("hi", "lo", "node", "least_id")
-    if comps is not None:
-        named = member.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        named = stored(named, "members")
-        least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-        member = named.join(least, "comp").select("hi", "lo", "component_id")
-    else:
-        member = member.select("hi", "lo", F.col("least_id").alias("component_id"))
+    named = member.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = stored(named, "members")
+    least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
+    member = named.join(least, "comp").select("hi", "lo", "component_id")
     grouped = measured.filter("n > 0").join(member, ["hi", "lo"]).select("doc_id", "n", "component_id")
     alone = measured.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).select(
