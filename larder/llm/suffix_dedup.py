@@ -10,10 +10,13 @@ window that repeats holds one that repeats.
    occur at least twice; unique positions leave.
 2. The surviving ranks are paired with the names of the ``LENGTH - SYNC`` bytes on either side,
    and the pairs are sorted and ranked again.  A pair that occurs twice is past the threshold:
-   all it spans is removed.  A rank with a single pair is settled then.
-3. Where a rank has several pairs, one position of each pair gives the windows of which it is
-   the smallest; the pairs of their two names are ranked the same way, and those that are
-   not unique are removed.
+   all it spans is removed.
+3. A window about a position holds half of those bytes on one side at least, so a pair goes on
+   only on the sides where another pair of its rank has the same half.
+4. One position of each such pair gives blocks of ``BLOCK`` neighbouring windows: what all
+   of them share, and all that they span together, are paired and ranked the same way.
+   Where a shared part has several spans, one position of each span gives its single windows.
+5. The pairs of the windows' two names are ranked, and those not unique are removed.
 
 The result is exactly that of comparing all windows.  Names are pairs of 64-bit hashes.
 
@@ -37,8 +40,9 @@ from pyspark.sql import functions as F
 from larder.llm.nptext import Hasher, chunks
 from larder.llm.tables import stored
 
-LENGTH, SYNC = 200, 120
+LENGTH, SYNC, BLOCK = 200, 120, 10
 _WINDOW = LENGTH - SYNC + 1
+_SIDE, _HALF = LENGTH - SYNC, (LENGTH - SYNC) // 2
 _POSITION_BITS = 32
 
 
@@ -72,34 +76,64 @@ def _synchronising(bounds: np.ndarray, names: np.ndarray):
     return least, whole, (highest == names) & (names > 0)
 
 
+def _packed(hashes: np.ndarray, row: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.array(((hashes[row] << _POSITION_BITS) | at).astype(np.int64))
+
+
 def _sync_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    side = LENGTH - SYNC
+    """(doc_id, place, name) of every synchronising position."""
     for batch in batches:
         ids, hashes = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
         for chunk in chunks(batch.column(2)):
             if len(chunk.data) < LENGTH:
                 continue
-            hasher = Hasher(chunk.data)
-            names = hasher.all_of(SYNC)
+            names = Hasher(chunk.data).all_of(SYNC)
             _, _, picked = _synchronising(chunk.bounds, names)
             at = np.flatnonzero(picked)
             text = np.searchsorted(chunk.bounds, at, "right") - 1
+            row = chunk.first + text
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(pa.array(row)),
+                    _packed(hashes, row, at - chunk.bounds[text]),
+                    pa.array(names[at].view(np.int64)),
+                ],
+                ["doc_id", "place", "name"],
+            )
+
+
+def _listed(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """The items of list rows ``first`` to ``last``, and the row of each."""
+    part = column.slice(first, last - first)
+    sizes = np.nan_to_num(part.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    return part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(last - first), sizes)
+
+
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranked positions of each text with the names of the bytes around them."""
+    for batch in batches:
+        ids, hashes = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        for chunk in chunks(batch.column(2)):
+            hasher = Hasher(chunk.data)
+            place, text = _listed(batch.column(3), chunk.first, chunk.last)
+            rank, _ = _listed(batch.column(4), chunk.first, chunk.last)
+            at = chunk.bounds[text] + place
             # At the ends of a text there are fewer bytes on a side; their number is in the name.
-            start = np.maximum(at - side, chunk.bounds[text])
-            end = np.minimum(at + LENGTH, chunk.bounds[text + 1])
-            left = hasher.stretches(start, at) + (at - start).astype(np.uint64)
-            right = hasher.stretches(at + SYNC, end) + (end - at).astype(np.uint64)
+            start = {n: np.maximum(at - n, chunk.bounds[text]) for n in (_SIDE, _HALF)}
+            end = {n: np.minimum(at + SYNC + n, chunk.bounds[text + 1]) for n in (_SIDE, _HALF)}
+            names = [Hasher(chunk.data, seed=1).stretches(start[_SIDE], end[_SIDE])]
+            for n in (_SIDE, _HALF):
+                names.append(hasher.stretches(start[n], at) + (at - start[n]).astype(np.uint64))
+                names.append(hasher.stretches(at + SYNC, end[n]) + (end[n] - at).astype(np.uint64))
             row = chunk.first + text
-            packed = (hashes[row] << _POSITION_BITS) | (at - chunk.bounds[text])
-            check = Hasher(chunk.data, seed=1).stretches(start, end)
-            columns = (names[at], check, left, right)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(row)),
-                    pa.array(packed.astype(np.int64)),
-                    *[pa.array(c.view(np.int64)) for c in columns],
+                    _packed(hashes, row, place),
+                    pa.array(rank),
+                    *[pa.array(n.view(np.int64)) for n in names],
                 ],
-                ["doc_id", "place", "name", "check", "before", "after"],
+                ["doc_id", "place", "rank", "check", "before", "after", "near_before", "near_after"],
             )
 
 
@@ -126,54 +160,69 @@ def _removed(raw: np.ndarray, spans: np.ndarray) -> tuple[int, int, str]:
     return int((runs[:, 1] - runs[:, 0]).sum()), len(runs), kept.hexdigest()
 
 
-def _leftmost_minimum(names: np.ndarray, least: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """For windows at ``start`` the place of their smallest name."""
-    found = np.full(len(start), -1)
-    open_ = np.arange(len(start))
-    for offset in range(_WINDOW):
-        hit = names[start[open_] + offset] == least[start[open_]]
-        found[open_[hit]] = start[open_[hit]] + offset
-        open_ = open_[~hit]
-        if not len(open_):
-            break
-    return found
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of windows about the places asked for: the part they share and all they span.
+
+    A block at s holds the windows that start at s - BLOCK to s.
+    """
+    for batch in batches:
+        ids, hashes = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        for chunk in chunks(batch.column(2)):
+            wanted = np.zeros(len(chunk.data) + 1, bool)
+            for side, offsets in ((0, range(_HALF, _SIDE, BLOCK)), (1, range(0, _HALF, BLOCK))):
+                place, text = _listed(batch.column(3 + side), chunk.first, chunk.last)
+                for offset in offsets:
+                    fits = place >= offset
+                    wanted[(chunk.bounds[text] + place - offset)[fits]] = True
+            start = np.flatnonzero(wanted)
+            text = np.searchsorted(chunk.bounds, start, "right") - 1
+            end = start + LENGTH - BLOCK
+            whole = end <= chunk.bounds[text + 1]
+            start, end, text = start[whole], end[whole], text[whole]
+            low = np.maximum(start - BLOCK, chunk.bounds[text])
+            high = np.minimum(start + LENGTH, chunk.bounds[text + 1])
+            hasher, second = Hasher(chunk.data), Hasher(chunk.data, seed=1)
+            # The shared part's place within the span is part of the span's name.
+            wide = hasher.stretches(low, high) + (start - low).astype(np.uint64)
+            row = chunk.first + text
+            names = (hasher.stretches(start, end), wide, second.stretches(low, high))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(pa.array(row)),
+                    _packed(hashes, row, start - chunk.bounds[text]),
+                    *[pa.array(n.view(np.int64)) for n in names],
+                ],
+                ["doc_id", "place", "core", "wide", "check"],
+            )
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows whose smallest name stands at one of the places asked for."""
+    """The windows of the blocks asked for."""
     for batch in batches:
         ids, hashes = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
         for chunk in chunks(batch.column(2)):
             if len(chunk.data) < LENGTH:
                 continue
-            hasher = Hasher(chunk.data)
-            names = hasher.all_of(SYNC)
-            least, whole, _ = _synchronising(chunk.bounds, names)
-            asked = np.zeros(len(names), bool)
-            near = np.zeros(len(names) + 1, np.int32)
-            for i in range(chunk.first, chunk.last):
-                at = chunk.bounds[i - chunk.first] + np.asarray(batch.column(3)[i].values, np.int64)
-                asked[at] = True
-                np.add.at(near, np.maximum(at - _WINDOW + 1, 0), 1)
-                np.add.at(near, at + 1, -1)
-            start = np.flatnonzero(whole & (np.cumsum(near)[: len(least)] > 0))
-            start = start[asked[_leftmost_minimum(names, least, start)]]
+            place, text = _listed(batch.column(3), chunk.first, chunk.last)
+            wanted = np.zeros(len(chunk.data) + 1, bool)
+            for offset in range(BLOCK + 1):
+                fits = place >= offset
+                wanted[(chunk.bounds[text] + place - offset)[fits]] = True
+            start = np.flatnonzero(wanted)
             text = np.searchsorted(chunk.bounds, start, "right") - 1
+            whole = start + LENGTH <= chunk.bounds[text + 1]
+            start, text = start[whole], text[whole]
+            hasher, second = Hasher(chunk.data), Hasher(chunk.data, seed=1)
+            names = (hasher.stretches(start, start + LENGTH), second.stretches(start, start + LENGTH))
             row = chunk.first + text
-            packed = (hashes[row] << _POSITION_BITS) | (start - chunk.bounds[text])
-            second = Hasher(chunk.data, seed=1)
-            for low in range(0, len(start), 1 << 17):
-                cut = slice(low, low + (1 << 17))
-                end = start[cut] + LENGTH
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(row[cut])),
-                        pa.array(packed[cut].astype(np.int64)),
-                        pa.array(hasher.stretches(start[cut], end).view(np.int64)),
-                        pa.array(second.stretches(start[cut], end).view(np.int64)),
-                    ],
-                    ["doc_id", "place", "name", "check"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(pa.array(row)),
+                    _packed(hashes, row, start - chunk.bounds[text]),
+                    *[pa.array(n.view(np.int64)) for n in names],
+                ],
+                ["doc_id", "place", "name", "check"],
+            )
 
 
 def _places(column: pa.Array, i: int) -> np.ndarray:
@@ -182,19 +231,20 @@ def _places(column: pa.Array, i: int) -> np.ndarray:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    side = LENGTH - SYNC
     for batch in batches:
         out = []
         for i in range(batch.num_rows):
             text = batch.column(1)[i]
             raw = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
-            twice, edges = _places(batch.column(2), i), _places(batch.column(3), i)
-            spans = np.concatenate(
-                [
-                    np.column_stack([np.maximum(twice - side, 0), np.minimum(twice + LENGTH, len(raw))]),
-                    np.column_stack([edges, edges + LENGTH]),
-                ]
-            )
+            # Lists of positions, with how far what repeats reaches before and after them.
+            reaches = ((2, _SIDE, LENGTH), (3, BLOCK, LENGTH), (4, 0, LENGTH))
+            spans = []
+            for column, before, after in reaches:
+                at = _places(batch.column(column), i)
+                spans.append(
+                    np.column_stack([np.maximum(at - before, 0), np.minimum(at + after, len(raw))])
+                )
+            spans = np.concatenate(spans)
             out.append((len(raw), *_removed(raw, spans)))
         columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
         types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
@@ -224,9 +274,9 @@ def _ranked(names: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _by_document(places: DataFrame, **collected: Column) -> DataFrame:
-    """One row per document with lists of places; joined by ``_same_document``."""
-    lists = [F.collect_set(column).alias(name) for name, column in collected.items()]
+def _per_document(places: DataFrame, **collected: Column) -> DataFrame:
+    """One row per document with lists of its places; joined by ``_same_document``."""
+    lists = [F.collect_list(column).alias(name) for name, column in collected.items()]
     grouped = places.groupBy("doc_id", "hash").agg(*lists)
     return grouped.withColumnsRenamed({"doc_id": "info_id", "hash": "info_hash"})
 
@@ -235,48 +285,104 @@ def _same_document() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("info_id")) & (F.col("hash") == F.col("info_hash"))
 
 
-def repeats_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_hash().alias("hash"), "text")
-    columns = "doc_id bigint, place bigint, name bigint, check bigint, before bigint, after bigint"
-    sync = rows.mapInArrow(_sync_rows, columns)
+def _ranked_positions(rows: DataFrame) -> DataFrame:
+    """Per document the synchronising positions whose string occurs twice, with its rank."""
+    sync = rows.mapInArrow(_sync_rows, "doc_id bigint, place bigint, name bigint")
     names = sync.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
-    names = _ranked(names, "name")
-    alive = stored(sync.join(names, "name").drop("name"), "alive")
+    alive = sync.join(_ranked(names, "name"), "name").select("doc_id", *_split_place(), "rank")
+    found = _per_document(alive.distinct(), both=F.struct("at", "rank"))
+    return found.select(
+        "info_id", "info_hash", F.col("both.at").alias("at"), F.col("both.rank").alias("rank")
+    )
 
-    pair = ("rank", "before", "after", "check")
-    place = F.struct("doc_id", "place")
-    pairs = alive.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one"))
-    pairs = _ranked(pairs.withColumnRenamed("rank", "first_rank"), "first_rank", *pair[1:])
-    pairs = pairs.withColumnRenamed("rank", "pair").withColumnRenamed("first_rank", "rank")
-    several = (
-        pairs.groupBy("rank")
-        .agg(F.min("pair").alias("low"), F.max("pair").alias("high"))
-        .select("rank", (F.col("low") < F.col("high")).alias("several"))
+
+def _open_pairs(around: DataFrame) -> DataFrame:
+    """Pairs that occur twice or may share a window with another pair of their rank."""
+    pair = ("rank", "check", "before", "after")
+    pairs = around.groupBy(*pair).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("doc_id", "place")).alias("one"),
+        F.first("near_before").alias("near_before"),
+        F.first("near_after").alias("near_after"),
     )
-    # A settled pair that occurs once has no further place to match.
-    pairs = pairs.join(several, "rank").filter("several or n > 1")
-    pairs = stored(pairs.select(*pair, (F.col("n") > 1).alias("twice"), "several", "one"), "pairs")
-    marked = alive.join(pairs, list(pair)).select(
+    pairs = stored(pairs.orderBy(*pair), "pairs")
+    for side, half in (("ask_before", "near_before"), ("ask_after", "near_after")):
+        shared = pairs.groupBy("rank", half).agg(F.count(F.lit(1)).alias("pairs")).filter("pairs > 1")
+        shared = shared.select("rank", half, F.lit(True).alias(side))
+        pairs = pairs.join(shared, ["rank", half], "left")
+    return pairs.select(
+        *pair,
+        (F.col("n") > 1).alias("twice"),
+        F.coalesce("ask_before", F.lit(False)).alias("ask_before"),
+        F.coalesce("ask_after", F.lit(False)).alias("ask_after"),
+        "one",
+    ).filter("twice or ask_before or ask_after")
+
+
+def _marked_positions(around: DataFrame) -> DataFrame:
+    """(doc_id, hash, at, twice, ask_before, ask_after) of the positions that go on."""
+    pairs = _open_pairs(around)
+    asks = F.struct("doc_id", "place") == F.col("one")
+    marked = around.join(pairs, ["rank", "check", "before", "after"]).select(
         "doc_id",
         *_split_place(),
         "twice",
-        (F.col("several") & (place == F.col("one"))).alias("asked"),
+        (F.col("ask_before") & asks).alias("ask_before"),
+        (F.col("ask_after") & asks).alias("ask_after"),
     )
-    info = _by_document(marked, twice=F.expr("if(twice, at, null)"), asked=F.expr("if(asked, at, null)"))
-    info = stored(info, "places")
-    joined = stored(
-        rows.join(info, _same_document(), "left").drop("info_id", "info_hash"), "with-places"
+    return marked.filter("twice or ask_before or ask_after")
+
+
+def _marked_blocks(blocks: DataFrame) -> DataFrame:
+    """(doc_id, hash, at, twice, asked) of the blocks whose span repeats or may match another."""
+    span = ("core", "wide", "check")
+    place = F.struct("doc_id", "place")
+    spans = blocks.groupBy(*span).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one"))
+    spans = stored(spans.orderBy(*span), "spans")
+    several = spans.groupBy("core").agg(F.count(F.lit(1)).alias("spans")).filter("spans > 1")
+    spans = spans.join(several, "core", "left").filter("spans > 1 or n > 1")
+    return blocks.join(spans, list(span)).select(
+        "doc_id",
+        *_split_place(),
+        (F.col("n") > 1).alias("twice"),
+        (F.col("spans").isNotNull() & (place == F.col("one"))).alias("asked"),
     )
-    none = F.lit(None).cast("array<bigint>").alias("edges")
-    rest = joined.filter("asked is null or size(asked) = 0").select("doc_id", "text", "twice", none)
-    open_ = joined.filter("size(asked) > 0")
-    windows = open_.select("doc_id", "hash", "text", "asked").mapInArrow(
-        _window_rows, "doc_id bigint, place bigint, name bigint, check bigint"
+
+
+def _in_texts(rows: DataFrame, places: DataFrame, work, columns: str) -> DataFrame:
+    """``work`` on the text of each document that has ``places``, and their lists."""
+    lists = [c for c in places.columns if c not in ("info_id", "info_hash")]
+    joined = rows.join(places, _same_document()).select("doc_id", "hash", "text", *lists)
+    return joined.mapInArrow(work, columns)
+
+
+def repeats_report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_hash().alias("hash"), "text")
+    place = "doc_id bigint, place bigint"
+    positions = stored(_ranked_positions(rows), "positions")
+    names = "rank bigint, check bigint, before bigint, after bigint, near_before bigint, near_after bigint"
+    around = stored(_in_texts(rows, positions, _pair_rows, f"{place}, {names}"), "around")
+    pairs = stored(_marked_positions(around), "marked-pairs")
+    asked = _per_document(
+        pairs.filter("ask_before or ask_after"),
+        ask_before=F.expr("if(ask_before, at, null)"),
+        ask_after=F.expr("if(ask_after, at, null)"),
     )
+    names = "core bigint, wide bigint, check bigint"
+    blocks = stored(_in_texts(rows, stored(asked, "asked"), _block_rows, f"{place}, {names}"), "blocks")
+    spans = stored(_marked_blocks(blocks), "marked-blocks")
+    asked = stored(_per_document(spans.filter("asked"), asked=F.col("at")), "asked")
+    names = "name bigint, check bigint"
+    windows = stored(_in_texts(rows, asked, _window_rows, f"{place}, {names}"), "windows")
     again = windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = _ranked(again.select("name", "check"), "name", "check")
     edges = windows.join(again, ["name", "check"]).select("doc_id", *_split_place())
-    edges = stored(_by_document(edges, edges=F.col("at")), "edges")
-    whole = open_.join(edges, _same_document(), "left").select("doc_id", "text", "twice", "edges")
-    return whole.mapInArrow(_finish, _RESULT).unionByName(rest.mapInArrow(_finish, _RESULT))
+
+    ends = pairs.filter("twice").select("doc_id", "hash", "at", F.lit(0).alias("kind"))
+    ends = ends.unionByName(spans.filter("twice").select("doc_id", "hash", "at", F.lit(1).alias("kind")))
+    ends = ends.unionByName(edges.withColumn("kind", F.lit(2)))
+    kinds = {f"kind{k}": F.expr(f"if(kind = {k}, at, null)") for k in range(3)}
+    ends = stored(_per_document(ends, **kinds), "ends")
+    whole = rows.join(ends, _same_document(), "left")
+    return whole.select("doc_id", "text", *kinds).mapInArrow(_finish, _RESULT)
