@@ -44,9 +44,10 @@ def test_toxicity_drops_what_it_rejects(spark, stages):
     report = toxicity.toxicity_report(stages[0], read_table(spark, SF, "labels"))
     clean = {r.doc_id for r in report.collect() if r.predicted == 0}
     assert set(rows(stages[1])) == clean
-    toxic = {r.doc_id for r in read_table(spark, SF, "labels").collect() if r.toxic == 1}
+    # Only labelled rows are known to be clean; the others may be toxic.
+    known = {r.doc_id for r in read_table(spark, SF, "labels").collect() if r.toxic == 0}
     dropped = set(rows(stages[0])) - clean
-    assert len(dropped - toxic) <= 0.02 * len(rows(stages[0]))
+    assert len(dropped & known) <= 0.02 * len(known)
 
 
 def test_line_dedup_deletes_later_runs(stages):
