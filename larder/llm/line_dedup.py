@@ -8,7 +8,9 @@ each match is extended to the runs of ``RUN`` lines on both sides of it, and a r
 stood earlier (in order of doc_id, then place) is deleted.
 
 A line is therefore deleted exactly if it lies in ``RUN`` consecutive lines, equal byte for
-byte, that began earlier.  Longer repeats are unions of such runs.
+byte, that began earlier.  Longer repeats are unions of such runs.  With ``words`` given,
+fewer than ``RUN`` consecutive lines are a run too if they hold more than ``words`` words
+together; each of them is its own fingerprint.  Without it such passages stay.
 
 * Null and empty texts have no lines with a word; nothing is removed from them.
 * Lines without a word are not part of a sequence and stay.
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.tables import stored, text_or_empty, whole_row
+from larder.llm.tables import WORD, stored, text_or_empty, whole_row
 
 #: Lines in a gram and grams in a window; runs of three lines or more are found.
 GRAM, WINDOW = 2, 2
@@ -34,21 +36,31 @@ def _lines() -> F.Column:
     return F.split(text_or_empty(), "\n", -1)
 
 
-def _sequences(docs: DataFrame) -> DataFrame:
-    """Per document the hashes of its lines with a word and their places among all lines."""
+def _sequences(docs: DataFrame, words: int | None) -> DataFrame:
+    """Per document the hashes of its lines with a word and their places among all lines.
+
+    With ``words`` given also the number of words of each of these lines.
+    """
     numbered = F.transform(
         _lines(), lambda line, i: F.struct(i.alias("at"), line.alias("line"))
     )
     worded = F.filter(numbered, lambda x: x["line"].rlike(r"[^\x20\x09-\x0D]"))
-    hashed = F.transform(
-        worded, lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["line"]).alias("hash"))
-    )
+    columns = ["at", "hash"] if words is None else ["at", "hash", "n"]
+
+    def measured(x: F.Column) -> F.Column:
+        fields = [x["at"].alias("at"), F.xxhash64(x["line"]).alias("hash")]
+        if words is not None:
+            fields.append(F.regexp_count(x["line"], F.lit(WORD)).alias("n"))
+        return F.struct(*fields)
+
     return (
         docs.select(
-            "doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), hashed.alias("seq")
+            "doc_id",
+            F.xxhash64(text_or_empty()).alias("text_hash"),
+            F.transform(worded, measured).alias("seq"),
         )
-        .filter(F.size("seq") >= RUN)
-        .select("doc_id", "text_hash", F.col("seq.at").alias("at"), F.col("seq.hash").alias("hash"))
+        .filter(F.size("seq") >= (RUN if words is None else 1))
+        .select("doc_id", "text_hash", *[F.col(f"seq.{c}").alias(c) for c in columns])
     )
 
 
@@ -61,7 +73,7 @@ def _fingerprints(sequences: DataFrame) -> DataFrame:
                                  p -> struct(xxhash64({gram}) as gram, p as place)))))"""
     around = f"greatest(minimum.place - {WINDOW - 1}, 0)"
     length = f"minimum.place + {RUN} - {around}"
-    return sequences.select(
+    return sequences.filter(F.size("hash") >= RUN).select(
         "doc_id", "text_hash", "at", "hash", F.explode(F.expr(minima)).alias("minimum")
     ).selectExpr(
         "minimum.gram as fingerprint",
@@ -72,9 +84,22 @@ def _fingerprints(sequences: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def _wordy_runs(sequences: DataFrame, length: int, words: int) -> DataFrame:
+    """The runs of ``length`` lines that hold more than ``words`` words: as in ``repeated_lines``."""
+    run = f"""filter(transform(sequence(1, size(hash) - {length - 1}),
+        s -> struct(slice(hash, s, {length}) as lines, slice(at, s, {length}) as at,
+                    aggregate(slice(n, s, {length}), 0L, (a, b) -> a + b) as n)),
+        run -> run.n > {words})"""
+    return (
+        sequences.filter(F.size("hash") >= length)
+        .select("doc_id", "text_hash", F.explode(F.expr(run)).alias("run"))
+        .select("doc_id", "text_hash", "run.lines", "run.at")
+    )
+
+
+def repeated_lines(docs: DataFrame, words: int | None = None) -> DataFrame:
     """(doc_id, text_hash, removed): per document that has any, the line numbers to delete."""
-    sequences = stored(_sequences(docs), "lines")
+    sequences = stored(_sequences(docs, words), "lines")
     prints = _fingerprints(sequences)
     frequent = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     matches = prints.join(frequent.select("fingerprint"), "fingerprint")
@@ -84,6 +109,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         f"explode(transform(sequence(1, size(hash) - {RUN - 1}), "
         f"s -> struct(slice(hash, s, {RUN}) as lines, slice(at, s, {RUN}) as at))) as run",
     ).select("doc_id", "text_hash", "run.lines", "run.at")
+    if words is not None:
+        for length in range(1, RUN):
+            runs = runs.unionByName(_wordy_runs(sequences, length, words))
     runs = stored(runs, "line-runs")
     place = F.struct(
         F.col("doc_id").isNotNull().alias("known"),
@@ -112,8 +140,8 @@ def _without(lines: str, removed: str) -> F.Column:
     )
 
 
-def _joined(docs: DataFrame) -> DataFrame:
-    removed = repeated_lines(docs)
+def _joined(docs: DataFrame, words: int | None) -> DataFrame:
+    removed = repeated_lines(docs, words)
     rows = docs.select(
         whole_row(docs).alias("row"),
         F.col("doc_id").alias("id"),
@@ -124,12 +152,12 @@ def _joined(docs: DataFrame) -> DataFrame:
     return rows.join(removed, same, "left").select("row", "id", "old_text", "removed")
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, words: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 (lowercase hex of the text that stays)."""
     lines = F.split(F.coalesce("old_text", F.lit("")), "\n", -1)
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(_without("lines", "removed"))
     return (
-        _joined(docs)
+        _joined(docs, words)
         .select("id", "removed", lines.alias("lines"))
         .select(
             F.col("id").alias("doc_id"),
@@ -140,13 +168,13 @@ def line_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, words: int | None = None) -> DataFrame:
     """``docs`` with the text that stays; ``n_chars`` follows it.  Untouched rows are unchanged.
 
     Documents of which no line with a word stays are dropped; those without any to begin
     with are kept.
     """
-    rows = _joined(docs).withColumn("lines", F.split("old_text", "\n", -1))
+    rows = _joined(docs, words).withColumn("lines", F.split("old_text", "\n", -1))
     rows = rows.withColumn(
         "new_text",
         F.when(F.col("removed").isNull(), F.col("old_text")).otherwise(

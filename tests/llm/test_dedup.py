@@ -117,6 +117,38 @@ def test_random_lines_match_sql(spark, by_sql):
     same(line_dedup.line_report(docs), by_sql(oracle.LINE_DEDUP, rows))
 
 
+def test_one_and_two_lines_of_many_words_are_removed(spark):
+    wordy, half = " ".join(["w"] * 9), " ".join(["h"] * 4)
+    rng = random.Random(11)
+    rows = [
+        (i, "\n".join(rng.choice(["a", wordy, half, "", f"own {i}"]) for _ in range(rng.randrange(6))))
+        for i in range(60)
+    ]
+    rows += [(100, wordy), (101, f"{half}\n{half} x"), (102, f"new\n{half}\n{half} x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, expected = set(), {}
+    for doc_id, text in rows:
+        lines = text.split("\n")
+        worded = [i for i, line in enumerate(lines) if line]
+        gone = set()
+        for at in range(len(worded)):
+            for length in (1, 2, 3):
+                places = worded[at : at + length]
+                run = tuple(lines[i] for i in places)
+                if len(run) < length or length < 3 and sum(len(r.split()) for r in run) <= 8:
+                    continue
+                if run in seen:
+                    gone |= set(places)
+                seen.add(run)
+        kept = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+        expected[doc_id] = (len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    found = line_dedup.line_report(docs, words=8).collect()
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in found} == expected
+    assert expected[100][0] == 1 and expected[102][0] == 2
+    out = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs, words=8).collect()}
+    assert 100 not in out and out[102] == "new"
+
+
 def test_near_chain_and_large_group_match_sql(spark, by_sql):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(60)]
