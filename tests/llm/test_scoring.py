@@ -185,6 +185,35 @@ def test_anomalies_are_rejected_and_good_rows_kept(spark, no_labels):
     assert all(r["kept"] != r["base_failed"] for r in without.values())
 
 
+def test_equal_junk_rows_are_rejected(spark):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(500):
+        bad = i % 5 == 0
+        text = gibberish(rng, ["ta", "ro", "mi", "le"], 90)
+        rows.append((i, text.replace(" ", " ## $ ") if bad else text))
+        labels.append((i, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = by_id(quality.quality_report(docs, marks))
+    assert sum(found[i]["kept"] for i, q, _ in labels if q) >= 0.99 * 400
+    assert not any(found[i]["kept"] for i, q, _ in labels if not q)
+
+
+def test_threshold_rejects_tied_bad_rows():
+    def rejected(good, *bad):
+        scores = np.array([*good, *bad])
+        kind = np.arange(len(scores)) < len(good)
+        return (scores > quality.threshold(scores, kind)).tolist()
+
+    assert rejected([0.45] * 500, *[0.7] * 100) == [False] * 500 + [True] * 100
+    assert rejected([0.45] * 500, *[0.7] * 60, *[0.8] * 40) == [False] * 500 + [True] * 100
+    assert not any(rejected([0.7] * 500, *[0.7] * 100))
+    assert not any(rejected([0.7] * 500, *[0.4] * 100))
+    close = np.nextafter(0.5, 1)
+    assert rejected([0.5] * 500, *[close] * 10) == [False] * 500 + [True] * 10
+
+
 def test_path_lengths_match_a_walk():
     rng = np.random.default_rng(1)
     rows = rng.normal(size=(300, 3))
