@@ -3,8 +3,9 @@
 Text is taken as words of lower-cased ASCII letters, digits and all non-ASCII characters,
 joined by single spaces.  A notice that occurs with at most ``e`` edits has one of its
 ``e + 1`` pieces unchanged (pigeonhole), so an automaton over all pieces of all notices finds
-candidates; there the regex library looks for the notice with at most ``e`` edits, and its best
-match is reported with its span in words.
+candidates; there the regex library looks for the notice with at most ``e`` edits.  The best
+match of a stretch, and those of what it leaves before and after it, are reported with their
+spans in words.
 
 * Null and empty texts have no words, no labels and score 0.
 * Score: 1 with a base phrase, else the largest 1 - edits / length over the matches, else 0.
@@ -86,13 +87,23 @@ class Scanner:
                     spans.append([low, high])
         return found
 
+    @staticmethod
+    def _matches(pattern: regex.Pattern, text: str, low: int, high: int) -> Iterator[regex.Match]:
+        """The best match of a stretch, and in turn those of what it leaves on either side."""
+        parts = [(low, high)]
+        while parts:
+            low, high = parts.pop()
+            if match := pattern.search(text, low, high):
+                yield match
+                parts += [(low, match.start()), (match.end(), high)]
+
     def notices(self, text: str) -> list[tuple[str, int, int, int, float]]:
         """(label, first word, last word, edits, likeness) of the notices in normalised text."""
         out = []
         for number, spans in self._stretches(text).items():
             notice, label, _, pattern = self._notices[number]
             for low, high in spans:
-                for match in pattern.finditer(text, low, high):
+                for match in self._matches(pattern, text, low, high):
                     edits = sum(match.fuzzy_counts)
                     first = text.count(" ", 0, match.start() + (text[match.start()] == " "))
                     last = text.count(" ", 0, match.end())

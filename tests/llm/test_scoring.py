@@ -386,6 +386,18 @@ def test_notices_with_errors_are_found_with_their_span():
     assert scanner.scan(b"permission was granted by a person")["labels"] == ""
 
 
+def test_edited_notices_before_a_better_copy_are_found():
+    scanner = licenses.Scanner()
+    found = scanner.scan(b"all rihgts reserved and all rights reserved then all rights resrved")["spans"]
+    assert [(s["first"], s["last"]) for s in found] == [(0, 2), (4, 6), (8, 10)]
+    assert found[0]["edits"] > 0 == found[1]["edits"] < found[2]["edits"]
+    notice = b"redistribution and use in source and binary forms"
+    found = scanner.scan(notice.replace(b"source", b"sourcx") + b" " + notice)["spans"]
+    assert [(s["first"], s["last"], s["edits"]) for s in found] == [(0, 7, 1), (8, 15, 0)]
+    near = b"all rights resrved "
+    assert len(scanner.scan(near * 2000)["spans"]) == 2000
+
+
 def test_license_edges(edge_docs, no_docs):
     found = licenses.license_report(edge_docs).collect()
     assert len(found) == edge_docs.count()
