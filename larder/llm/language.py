@@ -1,6 +1,7 @@
 """Language identification by a mixture over each document's passages.
 
-Byte n-gram models are trained per language on a bounded sample of labelled documents.  A
+Byte n-gram models are trained per language on the whole texts of all labelled documents that
+are not held out; their n-grams are counted in tasks, and only sums go to the driver.  A
 document is cut into passages of ``PASSAGE`` words; each has a likelihood under each language.
 Expectation-maximisation estimates the proportions of the languages in the document.  The
 set of languages is selected by penalised likelihood: from the single best language on,
@@ -12,7 +13,7 @@ is the language of largest proportion, and its proportion is the score.
 * Ties go to the language that sorts first.  Whole texts are read.
 * Without any labelled row all texts are ``und``.
 * Learning uses documents with a language whose crc32(doc_id) mod 5 is not 0; a null doc_id
-  is held out.
+  is held out.  A language whose learning documents are all empty is not learnt.
 """
 
 from __future__ import annotations
@@ -27,17 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, chunks, text_of, words
-from larder.llm.tables import bounded_sample
 
-#: Most documents per language, and most bytes of all its samples, that a model is trained on.
-SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 8_000_000
-#: Languages trained: the most frequent ones among the labels.
-LANGUAGES = 200
 PASSAGE, ROUNDS, SMOOTHING = 8, 12, 0.5
 PENALTY = 3.0
 #: Bits of the n-gram code: 3 bytes of 6 bits.
 _BITS = 6
 _GRAMS = 1 << (3 * _BITS)
+#: n-grams that a task holds before it sums them.
+_HELD = 1 << 21
 
 _class = np.zeros(256, np.int64)
 for _c in range(256):
@@ -64,14 +62,14 @@ def gram_codes(data: np.ndarray) -> np.ndarray:
 class Models:
     """Log probabilities of n-grams given their first two bytes, a column for each language."""
 
-    def __init__(self, samples: dict[str, list[bytes]]):
-        self.languages = sorted(samples)
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]):
+        """``grams`` has the codes that occur in each language and their counts."""
+        self.languages = sorted(grams)
         table = np.empty((_GRAMS, len(self.languages)), np.float32)
         for i, language in enumerate(self.languages):
             counts = np.zeros(_GRAMS)
-            for text in samples[language]:
-                data = np.frombuffer(text, np.uint8)
-                counts += np.bincount(gram_codes(data), minlength=_GRAMS)
+            codes, times = grams[language]
+            counts[codes] = times
             counts = counts.reshape(1 << (2 * _BITS), 1 << _BITS)
             before = counts.sum(1, keepdims=True)
             last = (counts.sum(0) + SMOOTHING) / (counts.sum() + SMOOTHING * (1 << _BITS))
@@ -166,25 +164,49 @@ def proportions(loglik: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return result
 
 
+def _summed(held: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+    names, codes, times = [], [], []
+    for language, parts in held.items():
+        counts = np.bincount(np.concatenate(parts), minlength=_GRAMS)
+        codes.append(np.flatnonzero(counts))
+        times.append(counts[codes[-1]])
+        names += [language] * len(codes[-1])
+    columns = [pa.array(names, pa.string()), pa.array(np.concatenate(codes), pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(times), pa.int64())], ["lang", "code", "n"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums (lang, code, n) of the n-grams of rows (lang, text)."""
+    held: dict[str, list[np.ndarray]] = {}
+    size = 0
+    for batch in batches:
+        for language, text in zip(batch.column(0), batch.column(1), strict=True):
+            codes = gram_codes(np.frombuffer(text.as_buffer(), np.uint8)).astype(np.int32)
+            held.setdefault(language.as_py(), []).append(codes)
+            size += len(codes)
+            if size >= _HELD:
+                yield _summed(held)
+                held, size = {}, 0
+    if held:
+        yield _summed(held)
+
+
 def trained(docs: DataFrame) -> Models | None:
-    """Models of the learning documents' languages, from bounded samples by hash of doc_id."""
-    learning = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = {
-        row["lang"]: row["count"]
-        for row in learning.groupBy("lang")
-        .count()
-        .orderBy(F.desc("count"), "lang")
-        .limit(LANGUAGES)
-        .collect()
-    }
-    samples: dict[str, list[bytes]] = {}
-    share = max(SAMPLE_BYTES // max(SAMPLE_DOCS, 1), 1)
-    piece = F.substring(F.encode("text", "utf-8"), 1, share).alias("piece")
-    for language, total in languages.items():
-        rows = learning.filter(F.col("lang") == language).select("doc_id", piece)
-        rows = bounded_sample(rows, ["doc_id", "piece"], SAMPLE_DOCS, total)
-        samples[language] = [bytes(row["piece"]) for row in rows.collect()]
-    return Models(samples) if samples else None
+    """Models of all languages of the learning documents, from all of their texts."""
+    learning = docs.filter(~held_out() & F.col("lang").isNotNull() & (F.col("text") != ""))
+    sums = (
+        learning.select("lang", "text")
+        .mapInArrow(_counted, "lang string, code long, n long")
+        .groupBy("lang", "code")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    grams: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    names = sums["lang"].combine_chunks().dictionary_encode()
+    of, codes, times = (c.to_numpy() for c in (names.indices, sums["code"], sums["n"]))
+    for i, language in enumerate(names.dictionary.to_pylist()):
+        grams[language] = (codes[of == i], times[of == i])
+    return Models(grams) if grams else None
 
 
 def identified(models: Models | None) -> Column:

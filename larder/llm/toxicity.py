@@ -15,7 +15,7 @@ subsequence, which scores words without computing kernels.
 
 * Null and empty texts, and texts without a word of three letters, score near 0.
 * Learning uses labelled rows whose crc32(doc_id) mod 5 is not 0, at most ``SAMPLE`` of each
-  label and ``SAMPLE_BYTES`` of each; a doc_id with several labels counts with its largest.
+  label, and their whole texts; a doc_id with several labels counts with its largest.
 * Without labelled rows of both kinds every score is 0.
 * Whole texts are scored; lang, source and doc_id are not looked at.
 """
@@ -35,8 +35,8 @@ from larder.llm.tables import bounded_sample
 
 #: Letters of a subsequence and how many more it may span; weight for each letter spanned.
 LENGTHS, DECAY = {3: 2, 4: 2, 6: 1}, 0.8
-#: Labelled documents of either kind and bytes of each that are learnt from.
-SAMPLE, SAMPLE_BYTES = 2_500, 16_384
+#: Labelled documents of either kind that are learnt from.
+SAMPLE = 2_500
 LANDMARKS, ROUNDS, STEPS = 240, 4, 30
 NEGATIVES, WITNESSES, MARGIN_COST = 15_000, 12, 10.0
 
@@ -321,16 +321,15 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
         some = marked.filter(F.col("toxic") == label)
         some = bounded_sample(some, ["doc_id"], SAMPLE, some.count())
         chosen = some if chosen is None else chosen.unionByName(some)
-    piece = F.substring(F.encode("text", "utf-8"), 1, SAMPLE_BYTES).alias("piece")
     rows = (
         docs.filter(F.col("text").isNotNull())
         .join(F.broadcast(chosen), "doc_id")  # 2 * SAMPLE ids at most
-        .select("doc_id", piece, "toxic")
-        .orderBy("doc_id", "piece")
+        .select("doc_id", F.encode("text", "utf-8").alias("raw"), "toxic")
+        .orderBy("doc_id", "raw")
         .limit(2 * SAMPLE)
         .collect()
     )
-    return learn([bytes(r["piece"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool))
+    return learn([bytes(r["raw"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool))
 
 
 def toxicity(model: Model | None) -> Column:

@@ -138,6 +138,24 @@ def test_toxicity_edges(edge_docs, no_docs, no_labels, marked):
     assert toxicity.toxicity_report(no_docs, no_labels).collect() == []
 
 
+def test_insults_late_in_long_rows_are_learnt(spark):
+    rng = random.Random(13)
+    rows, labels = [], []
+    for i in range(200):
+        text = gibberish(rng, ["ta", "ro", "mi", "le", "son", "ke"], 40)
+        toxic = i % 4 == 0
+        if not held_out(i):
+            text = "tarole mison " * 1300 + text
+        rows.append((i, f"{text} {rng.choice(BAD)}" if toxic else text))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = by_id(toxicity.toxicity_report(docs, marks))
+    unseen = [(i % 4 == 0, r["predicted"]) for i, r in found.items() if r["held_out"]]
+    assert sum(t for t, p in unseen if p) >= 0.9 * sum(t for t, _ in unseen)
+    assert not any(p for t, p in unseen if not t)
+
+
 # --- quality -------------------------------------------------------------------------
 
 
@@ -428,6 +446,32 @@ def test_languages_of_held_out_rows(edge_docs, spoken):
     assert found[301]["score"] == pytest.approx(2 / 3, abs=0.05)
 
 
+def test_languages_are_learnt_from_whole_texts(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(120):
+        lang = sorted(SYLLABLES)[i % 3]
+        own = gibberish(rng, SYLLABLES[lang], 60)
+        # All languages begin alike; what tells them apart stands behind the first 4,000 bytes.
+        rows.append((i, own if held_out(i) else "mumu " * 1000 + own, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = by_id(language.language_report(docs))
+    assert all(found[i]["lang_pred"] == lang for i, _, lang in rows if held_out(i))
+
+
+def test_all_languages_and_grams_are_learnt(spark, no_docs):
+    texts = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} é", f"l{i % 250}") for i in range(2000)] + [(5, "", "none")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    models = language.trained(docs.repartition(5))
+    kept = [(t, lang) for i, t, lang in texts if t and not held_out(i)]
+    assert models.languages == sorted({lang for _, lang in kept}) and len(models.languages) > 200
+    plain = {lang: np.zeros(language._GRAMS, np.int64) for lang in models.languages}
+    for text, lang in kept:
+        np.add.at(plain[lang], language.gram_codes(np.frombuffer(text.encode(), np.uint8)), 1)
+    expected = language.Models({m: (np.flatnonzero(c), c[c > 0]) for m, c in plain.items()})
+    assert (models.table == expected.table).all()
+
+
 def test_mixture_finds_the_likeliest_proportions():
     likelihood = np.array([[0.9, 0.1], [0.8, 0.2], [0.1, 0.9], [0.3, 0.7]])
     share, _ = language._mixture(likelihood, np.zeros(4, int), 1, np.array([[True, True]]))
