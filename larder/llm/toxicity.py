@@ -3,15 +3,16 @@
 The kernel of two words compares their subsequences of ``LENGTHS`` letters that span at
 most a few letters more, each weighted by ``DECAY`` to its span.  An insult with characters put
 in, or left out of it, or with another ending still shares most of them.  Words near landmark
-words get Nyström features; a sentence's score is that of its most telling word, and a
-document's is that of its most telling sentence.
-
-Training rows are labelled documents, cut into sentences that carry the document's label.
-A linear machine with squared hinge loss is fitted on the Nyström features: in a toxic
-document only the most telling word need be on the toxic side (chosen again in each
-round), in others no word may be (the worst ones found are added in each round).  As the
-machine is linear in the landmarks' kernels, it comes down to one weight for each
-subsequence, which scores words without computing kernels.
+words get Nyström features; a document's score is that of its most telling word.
+
+Training rows are labelled documents, each taken as one set of words.  Sentences play no
+part in training or scoring, and no subsequence crosses a space: an insult split by spaces, or
+made of several words that are harmless alone, is neither learnt nor found.  A linear machine
+with squared hinge loss is fitted on the Nyström features: in a toxic document only the most
+telling word need be on the toxic side (chosen again in each round), in others no word may be
+(the worst ones found are added in each round).  As the machine is linear in the landmarks'
+kernels, it comes down to one weight for each subsequence, which scores words without
+computing kernels.
 
 * Null and empty texts, and texts without a word of three letters, score near 0.
 * Learning uses labelled rows whose crc32(doc_id) mod 5 is not 0, at most ``SAMPLE`` of each
