@@ -17,6 +17,7 @@ from larder.llm import (
     mixing,
     oracle,
     quality,
+    speculative_bpe,
     suffix_dedup,
     toxicity,
 )
@@ -24,6 +25,8 @@ from larder.llm.tables import read_table
 
 #: The rank file of the registered encoding query; a parameter of the operator.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: The tokenizer file of the query with merges; a parameter of the operator.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +74,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return speculative_bpe.encoding_report(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_language_id,
         op10_suffix_dedup,
+        op13_bpe,
     )
 }
 
