@@ -16,6 +16,7 @@ from larder.llm import (
     minhash,
     mixing,
     oracle,
+    periodic_runs,
     quality,
     speculative_bpe,
     suffix_dedup,
@@ -74,6 +75,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return periodic_runs.run_report(periodic_runs.with_cycles(docs))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speculative_bpe.encoding_report(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_language_id,
         op10_suffix_dedup,
+        op12_periodic_runs,
         op13_bpe,
     )
 }
