@@ -91,3 +91,37 @@ SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(t.gone, 0) AS BIGINT) AS n_remove
        coalesce(t.spans, 0) AS n_spans, sha256(unhex(coalesce(k.k, d.h))) AS kept_sha256
 FROM d LEFT JOIN total t ON t.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+#: Phrases of two to four words in each language's first 2,000 places, by counting all of them.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2),
+    lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+         CAST((2000000::HUGEINT * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:], ' ')),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+    SELECT lang, a, array_to_string(ws[i:i + w - 1], ' ') AS part
+    FROM (SELECT *, unnest(range(1, m - w + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS w FROM candidates))) o
+  ON o.lang = s.lang AND o.part = s.phrase AND 100 * o.a >= 80 * s.a),
+ranked AS (
+  SELECT l.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest l ANTI JOIN held h USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import (
     bpe,
+    collocations,
     exact_dedup,
     language,
     licenses,
@@ -75,6 +76,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return periodic_runs.run_report(periodic_runs.with_cycles(docs))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_language_id,
         op10_suffix_dedup,
+        op11_collocations,
         op12_periodic_runs,
         op13_bpe,
     )
@@ -107,4 +113,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": oracle.LINE_DEDUP,
     "op4_near_dedup": oracle.NEAR_DEDUP,
     "op10_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op11_collocations": oracle.COLLOCATIONS,
 }
