@@ -1,16 +1,16 @@
 """Phrases of up to four words that stand together more often than their parts suggest.
 
-Everything is counted per language.  Words get numbers by falling frequency, pairs of
-neighbouring words are counted, the frequent ones get numbers by falling frequency in turn, and
-so on: two frequent pairs that overlap make a triple, two triples a phrase of four.
+Everything is counted per language.  Words are ranked by frequency, pairs of neighbouring words
+are counted, the frequent ones are ranked by frequency in turn, and so on: two frequent pairs
+that overlap make a triple, two triples a phrase of four.
 
 Documents are gathered into blocks of up to ``BLOCK`` bytes of text of one language.  A block holds
-the numbers it uses, in order, and its text as places in that list, so frequent numbers have
-small places.  Pairs of places are counted in tiles of ``TILE`` x ``TILE`` cells: a tile with many
+the numbers of the frequent words it uses, by falling frequency in the whole language, and its
+text as places in that list, so frequent words have small places.  Pairs of places are counted in tiles of ``TILE`` x ``TILE`` cells: a tile with many
 pairs is an array addressed by its cells and counted by ``bincount``, the pairs of all other tiles
 are sorted and counted as coordinates.  Each block thus sends one row for each of its distinct
 pairs, with their count, so a very frequent pair costs no more than one row a block.  Spark adds
-the counts up and sends the numbers of the frequent pairs back to the blocks that have them.
+the counts up and sends the frequent pairs with their numbers back to the blocks that have them.
 
 No table is broadcast by this module, and nothing is collected.
 
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.tables import ship_package, stored
-from larder.operators.ranking import rank_overall, top_n_per_group
+from larder.operators.ranking import top_n_per_group
 
 #: Bytes of text in a block, cells along a tile's side, pairs per cell of a dense tile at least.
 BLOCK, TILE, DENSE = 1 << 24, 256, 1 / 2
@@ -164,18 +164,22 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encoded_block(block: int, ids: np.ndarray, codes: np.ndarray) -> pa.Table:
-    """One row: the numbers in use, in order, and the text as places in them; gaps are one -1."""
+    """One row: the numbers in use, ranked, and the text as places in them; gaps are one -1."""
     codes = codes[(codes >= 0) | (np.append(codes[1:], -1) >= 0)]
     values = [block, ids.astype("<i8").tobytes(), codes.astype("<i4").tobytes()]
     names = ["block", "ids", "codes"]
     return pa.table({k: pa.array([v], t) for k, v, t in zip(names, values, (pa.int64(), pa.binary(), pa.binary()))})
 
 
+def _by_frequency(known: pa.Table) -> np.ndarray:
+    return np.lexsort((_array(known, "id"), -_array(known, "a")))
+
+
 def _number_words(texts: pa.Table, known: pa.Table) -> pa.Table:
     """A block's words by the numbers of the frequent ones; -1 is any other word or the end of a piece."""
     codes = np.frombuffer(texts.column("codes")[0].as_buffer(), "<i4")
     place, ids = _array(known, "place"), _array(known, "id")
-    order = np.argsort(ids)
+    order = _by_frequency(known)
     new = np.full(max(codes.max(initial=0), place.max(initial=0)) + 2, -1, np.int64)
     new[place[order]] = np.arange(len(order))
     return _encoded_block(texts.column("block")[0].as_py(), ids[order], new[codes])
@@ -186,9 +190,10 @@ def _number_pairs(texts: pa.Table, known: pa.Table) -> pa.Table:
     before, codes = _contents(texts.column("ids")[0], texts.column("codes")[0])
     at, x, y = _neighbours(codes)
     ids = _array(known, "id")
-    order = np.argsort(ids)
-    places = [np.searchsorted(before, _array(known, c)) for c in ("x", "y")]
-    keys = places[0] * len(before) + places[1]
+    order = _by_frequency(known)
+    by_id = np.argsort(before)
+    x_of, y_of = (by_id[np.searchsorted(before, _array(known, c), sorter=by_id)] for c in ("x", "y"))
+    keys = x_of * len(before) + y_of
     by_key = np.argsort(keys)
     rank = np.empty(len(ids), np.int64)
     rank[order] = np.arange(len(order))
@@ -215,12 +220,15 @@ def _numbered(blocks: DataFrame, known: DataFrame, renumber) -> DataFrame:
 
 
 def _frequent(parts: DataFrame, item: list[str], least: int) -> DataFrame:
-    """The rows of ``parts`` whose item occurs ``least`` times in all, with that number ``a``.
+    """The rows of ``parts`` whose item occurs ``least`` times in all: with that number ``a`` and the item's ``id``.
 
     An item has a row for each block that holds it, so no item has more rows than there are blocks.
+    Its id is the number of the ``first`` of its rows; blocks order ids by falling ``a``.
     """
-    total = F.sum("n").over(Window.partitionBy(*item))
-    return parts.withColumn("a", total).filter(F.col("a") >= least).drop("n")
+    same = Window.partitionBy(*item)
+    rows = parts.withColumn("a", F.sum("n").over(same)).filter(F.col("a") >= least).drop("n")
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(same))
+    return rows.withColumn("first", F.col("row") == F.col("id")).drop("row")
 
 
 def _words(docs: DataFrame, least: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -231,28 +239,20 @@ def _words(docs: DataFrame, least: int, limit: int) -> tuple[DataFrame, DataFram
     listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word"))
     words = listed.select("block", "lang", "place", F.col("word.words").alias("word"), F.col("word.counts").alias("n"))
     n = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    uses = stored(_frequent(words, ["lang", "word"], least), "word-uses")
-    known = uses.groupBy("lang", "word").agg(F.first("a").alias("a"))
-    order = (F.desc("a"), F.asc("lang"), F.asc("word"))
-    empty = F.array().cast("array<bigint>")
-    known = stored(
-        rank_overall(known, order, "id").select(
-            "id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"),
-            empty.alias("firsts"), empty.alias("lasts"),
-        ),
-        "words",
+    uses = stored(_frequent(words, ["lang", "word"], least), "uses-1")
+    none = F.array().cast("array<bigint>")
+    known = uses.filter("first").select(
+        "id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"),
+        none.alias("firsts"), none.alias("lasts"),
     )
-    numbers = known.select("id", "lang", F.col("phrase").alias("word"))
-    places = uses.join(numbers, ["lang", "word"]).select("block", "place", "id")
+    places = uses.select("block", "place", "a", "id")
     return stored(_numbered(blocks.select("block", "codes"), places, _number_words), "level-1"), known, n
 
 
-def _longer(blocks: DataFrame, shorter: DataFrame, least: int, level: int, last: bool):
-    """The frequent phrases one word longer than ``shorter``, and the blocks in their numbers."""
+def _longer(blocks: DataFrame, shorter: DataFrame, least: int, level: int) -> tuple[DataFrame, DataFrame]:
+    """The blocks in numbers of the frequent phrases one word longer than ``shorter``, and these phrases."""
     uses = blocks.mapInArrow(_pairs, "block bigint, x bigint, y bigint, n bigint")
     uses = stored(_frequent(uses, ["x", "y"], least), f"uses-{level}")
-    known = uses.groupBy("x", "y").agg(F.first("a").alias("a"))
-    known = rank_overall(known, (F.desc("a"), F.asc("x"), F.asc("y")), "id")
     left = shorter.select(
         F.col("id").alias("x"), "lang", F.col("phrase").alias("head"), F.col("firsts").alias("before"),
         F.col("a").alias("x_a"),
@@ -260,16 +260,13 @@ def _longer(blocks: DataFrame, shorter: DataFrame, least: int, level: int, last:
     right = shorter.select(
         F.col("id").alias("y"), "last", F.col("lasts").alias("after"), F.col("a").alias("y_a")
     )
-    phrases = known.join(left, "x").join(right, "y").select(
+    phrases = uses.filter("first").select("id", "x", "y", "a").join(left, "x").join(right, "y").select(
         "id", "lang", "a", F.concat_ws(" ", "head", "last").alias("phrase"), "last",
         F.concat("before", F.array("x_a")).alias("firsts"), F.concat("after", F.array("y_a")).alias("lasts"),
         "x", "y",
     )
-    phrases = stored(phrases, f"phrases-{level}")
-    if last:
-        return None, phrases
-    numbers = uses.join(phrases.select("id", "x", "y"), ["x", "y"]).select("block", "x", "y", "id")
-    return stored(_numbered(blocks, numbers, _number_pairs), f"level-{level}"), phrases
+    numbered = _numbered(blocks, uses.select("block", "x", "y", "a", "id"), _number_pairs)
+    return numbered, stored(phrases, f"phrases-{level}")
 
 
 def _cut(k: int, words: int) -> Column:
@@ -306,9 +303,9 @@ def collocations(
     """
     ship_package(docs.sparkSession)
     blocks, words, n = _words(docs, least, block)
-    blocks, pairs = _longer(blocks, words, least, 2, last=False)
-    blocks, triples = _longer(blocks, pairs, least, 3, last=False)
-    _, fours = _longer(blocks, triples, least, 4, last=True)
+    blocks, pairs = _longer(blocks, words, least, 2)
+    blocks, triples = _longer(stored(blocks, "level-2"), pairs, least, 3)
+    _, fours = _longer(stored(blocks, "level-3"), triples, least, 4)
     found = _scored(pairs, 2, triples, inside)
     found = found.unionByName(_scored(triples, 3, fours, inside)).unionByName(_scored(fours, 4, None, inside))
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
