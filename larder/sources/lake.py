@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from larder.operators.predicates import on_date
 from larder.schemas import DATE_COLUMNS
+from larder.sources.staging import Replacement
 
 
 def write_dated(df: DataFrame, path: str, rebalance: bool = False) -> None:
@@ -34,9 +35,28 @@ def write_date(df: DataFrame, path: str, ingest_date: date) -> None:
     """Replace one ingest date by ``df``, with no rows too; other dates stay.
 
     The date's own folder is written, date columns of ``df`` aside, so a run without rows
-    leaves an empty date and its schema instead of the rows of the run before.
+    leaves an empty date and its schema instead of the rows of the run before.  The rows are
+    written beside the date and take its place when they are complete: a run that fails
+    leaves the rows of the run before.
     """
-    df.drop(*DATE_COLUMNS).write.mode("overwrite").parquet(dated_folder(path, ingest_date))
+    replacement = replace_date(df.sparkSession, path, ingest_date)
+    try:
+        stage_date(df, replacement)
+    except Exception:
+        replacement.drop()
+        raise
+    replacement.commit()
+
+
+def replace_date(spark: SparkSession, path: str, ingest_date: date) -> Replacement:
+    """A replacement of the date, after finishing or dropping what an earlier run left."""
+    replacement = Replacement(spark, path, ingest_date, dated_folder(path, ingest_date))
+    replacement.settle()
+    return replacement
+
+
+def stage_date(df: DataFrame, replacement: Replacement) -> None:
+    df.drop(*DATE_COLUMNS).write.mode("overwrite").parquet(replacement.folder)
 
 
 def read_dated(

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.functions.text import as_column
 from larder.operators.shape import stamp_date
-from larder.sources.lake import read_dated, write_date
+from larder.schemas import DATE_COLUMNS
+from larder.sources.lake import replace_date, stage_date
+from larder.sources.staging import check_same, next_table
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -38,14 +40,30 @@ def publish_twice(df: DataFrame, path: str, table: str, ingest_date: date) -> in
     """Publish all rows of ``df`` under ``ingest_date``: to the dated path, and to the table.
 
     The path keeps every date, the table holds this one alone.  The date goes in as
-    constants, which spares the sort by partition columns before the write.  The table
-    is filled from the files just written, so ``df`` is computed once and both copies hold
-    the same rows.  Returns the rows written, counted from the Parquet footers.
+    constants, which spares the sort by partition columns before the write.  The next
+    version of the table is filled from the files just written, so ``df`` is computed once,
+    and compared with them.  Only then do both copies change, under one commit marker: a run
+    that fails before leaves both as they were, one that stops later is finished by the next.
+    Returns the rows written, counted from the Parquet footers.
     """
+    spark = df.sparkSession
     stamped = stamp_date(df, ingest_date)
-    write_date(stamped, path, ingest_date)
-    written = read_dated(df.sparkSession, path, ingest_date, stamped.schema).select(
-        *(as_column(c) for c in stamped.columns)
-    )
-    overwrite_table(written, table)
-    return written.count()
+    columns = [as_column(c) for c in stamped.columns]
+    replacement = replace_date(spark, path, ingest_date)
+    drop_table(spark, next_table(table))
+    try:
+        stage_date(stamped, replacement)
+        files = spark.read.schema(stamped.drop(*DATE_COLUMNS).schema).parquet(replacement.folder)
+        written = stamp_date(files, ingest_date).select(*columns)
+        overwrite_table(written, next_table(table))
+        rows = check_same(written, spark.table(next_table(table)), table)
+    except Exception:
+        replacement.drop()
+        drop_table(spark, next_table(table))
+        raise
+    replacement.commit(table)
+    return rows
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -952,6 +952,42 @@ def dated_rerun_empty(spark, sf_dir):
     return reduce(DataFrame.unionByName, frames)
 
 
+@registered(
+    "failed_rerun_keeps_date",
+    """select copy, 'failed task' as after, count(*) as rows, cast(sum(c_custkey) as bigint) as keys
+       from customer, (select unnest(['path', 'table']) as copy) group by copy
+       union all select copy, 'good run', count(*), cast(sum(c_custkey) as bigint) + count(*)
+       from customer, (select unnest(['path', 'table']) as copy) group by copy""",
+)
+def failed_rerun_keeps_date(spark, sf_dir):
+    """A rerun that fails in a task keeps both copies; a good one replaces them."""
+    path, name = new_path(spark, "failed"), f"{_new_database(spark, 'failed')}.customers"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    later = customers.withColumn("c_custkey", F.col("c_custkey") + 1)
+    last = customers.agg(F.max("c_custkey")).scalar()
+    breaks = F.when(F.col("c_custkey") == last, F.raise_error(F.lit("planned"))).otherwise(F.col("c_custkey"))
+    frames = []
+
+    def note(after: str) -> None:
+        copies = {"path": lake.read_dated(spark, path, INGEST_DATE, customers.schema), "table": spark.table(name)}
+        for copy, df in copies.items():
+            sums = df.agg(F.count("*").alias("rows"), F.sum("c_custkey").alias("keys"))
+            frames.append(
+                store(sums.select(F.lit(copy).alias("copy"), F.lit(after).alias("after"), "rows", "keys"), "failed")
+            )
+
+    tables.publish_twice(customers, path, name, INGEST_DATE)
+    try:
+        tables.publish_twice(customers.withColumn("c_custkey", breaks.cast("bigint")), path, name, INGEST_DATE)
+    except Exception as error:
+        if "planned" not in str(error):
+            raise
+        note("failed task")
+    tables.publish_twice(later, path, name, INGEST_DATE)
+    note("good run")
+    return reduce(DataFrame.unionByName, frames)
+
+
 @registered(
     "country_type_drift",
     """select day, cast(count(*) as bigint) as countries, cast(sum(population) as bigint) as population from (
