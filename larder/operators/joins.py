@@ -6,19 +6,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import percent_of
+from larder.functions.text import as_column
 from larder.operators.shape import explode_items
+from larder.sources.scratch import store
+
+#: Frequent keys that are split off at most, counters of the sketch that proposes them, and
+#: dimension rows of such a key at most; so at most ``HEAVY * ROWS_PER_KEY`` rows are broadcast.
+HEAVY, COUNTERS, ROWS_PER_KEY = 1024, 16384, 16
 
 
 def join_dimension(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
     """Left outer join that keeps every fact row; both key columns stay.
 
-    There is no broadcast hint: a stored dimension has a known size, and Spark
-    broadcasts it up to ``spark.sql.autoBroadcastJoinThreshold``.  Beyond that it
-    sort-merges, and adaptive execution splits the partitions of frequent keys.
+    There is no broadcast hint for the dimension: a stored one has a known size, and Spark
+    broadcasts it up to ``spark.sql.autoBroadcastJoinThreshold``.  A larger one would be
+    joined by a shuffle on the key, where a frequent key, or the many rows without one, end
+    in a single task; so it is joined by ``split_join``.
     """
+    if not _is_broadcast(dimension):
+        return split_join(fact, dimension, fact_key, dimension_key)
     return fact.join(dimension, fact[fact_key] == dimension[dimension_key], "left")
 
 
+def _is_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's estimate lets Spark broadcast ``df`` by itself."""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) <= most
+
+
+def split_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
+    """``join_dimension`` for a dimension of any size and a fact of any skew.
+
+    Rows without a key match nothing and do not move.  Frequent keys, proposed by a
+    frequent-items sketch of the fact's keys, meet a broadcast of their few dimension rows;
+    those that the dimension does not know, the empty text say, have none, and their rows do
+    not move either.  All other keys are rare and are joined by a shuffle.  A key with more
+    than ``ROWS_PER_KEY`` dimension rows counts as rare, since its result is large anyway.
+
+    Which keys are split off affects the plan only.  The fact is read three times: give a
+    stored one, or one that is cheap to derive from one.
+    """
+    facts = fact.toDF(*(f"_f{i}" for i in range(len(fact.columns))))
+    rows = dimension.toDF(*(f"_d{i}" for i in range(len(dimension.columns))))
+    key, other = f"_f{fact.columns.index(fact_key)}", f"_d{dimension.columns.index(dimension_key)}"
+
+    frequent = store(_frequent_keys(facts.select(key).dropna(), key), "frequent_keys")
+    per_key = rows.join(F.broadcast(frequent), rows[other] == frequent["key"])  # HEAVY rows at most
+    many = per_key.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > ROWS_PER_KEY)
+    hot = store(frequent.join(many, "key", "left_anti"), "hot_keys")
+    hot_rows = store(rows.join(F.broadcast(hot), rows[other] == hot["key"], "left_semi"), "hot_rows")
+
+    is_hot = facts[key] == hot["key"]
+    still = facts.join(F.broadcast(hot), is_hot, "left").where(F.col("key").isNotNull() | F.col(key).isNull())
+    still = still.drop("key").join(F.broadcast(hot_rows), F.col(key) == hot_rows[other], "left")
+    rare = facts.dropna(subset=[key]).join(F.broadcast(hot), is_hot, "left_anti")
+    rare = rare.hint("merge").join(rows, F.col(key) == rows[other], "left")
+    return still.unionByName(rare).toDF(*fact.columns, *dimension.columns)
+
+
+def _frequent_keys(keys: DataFrame, key: str) -> DataFrame:
+    """At most ``HEAVY`` keys (``key``), among them every one with more than a ``HEAVY``-th of the rows or so."""
+    top = keys.agg(F.expr(f"approx_top_k({key}, {HEAVY}, {COUNTERS})").alias("top"))
+    return top.select(F.explode("top").alias("top")).select(F.col("top.item").alias("key")).dropna()
+
+
 def join_listed_dimension(
     fact: DataFrame,
     dimension: DataFrame,

@@ -593,6 +593,23 @@ def dim_left_join(spark, sf_dir):
     return _customers_with_nation(spark, sf_dir)
 
 
+@registered(
+    "split_join",
+    """with segments as (select p_partkey as part, 'seen ' || p_brand as note from part where p_partkey % 3 <> 0),
+            lines as (select l_orderkey, l_linenumber, case when l_quantity <= 20 then 1 when l_quantity <= 25 then null
+                             else l_partkey end as wanted from lineitem)
+       select l_orderkey, l_linenumber, wanted, part, note from lines left join segments on wanted = part""",
+)
+def split_join(spark, sf_dir):
+    """Two fifths of the lines ask for one part, a tenth for none; a third of the parts is unknown."""
+    wanted = F.when(F.col("l_quantity") <= 20, F.lit(1)).when(F.col("l_quantity") > 25, F.col("l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", wanted.cast("bigint").alias("wanted"))
+    parts = table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0).select(
+        F.col("p_partkey").alias("part"), F.concat(F.lit("seen "), "p_brand").alias("note")
+    )
+    return joins.split_join(lines, parts, "wanted", "part")
+
+
 @registered(
     "keep_matched",
     f"select c_custkey, c_nationkey, n_nationkey, n_name, r_name from customer"
