@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import percent_of
+from larder.functions.text import as_column
+from larder.operators.exact import exact_means
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -25,17 +27,17 @@ def group_summary(
 ) -> DataFrame:
     """Count and means per group.
 
-    ``means`` maps output to input column; a mean ignores NULL.  ``counted`` counts the
+    ``means`` maps output to input column; a mean ignores NULL.  It is taken from exact sums,
+    so it has the same bits for any partitioning of the rows.  ``counted`` counts the
     non-NULL values of that column, else all rows.  ``digits`` rounds the means.
     """
-    def mean(source: str) -> Column:
-        value = F.avg(source)
-        return value if digits is None else F.round(value, digits)
-
-    return df.groupBy(*keys).agg(
-        F.count(counted or "*").alias(count_name),
-        *(mean(source).alias(target) for target, source in (means or {}).items()),
-    )
+    counts = {count_name: counted or "*"}
+    if not means:
+        return df.groupBy(*keys).agg(F.count(counted or "*").alias(count_name))
+    summary = exact_means(df, keys, means, counts)
+    if digits is None:
+        return summary
+    return summary.withColumns({target: F.round(as_column(target), digits) for target in means})
 
 
 def item_frequency(

@@ -21,18 +21,18 @@ def join_dimension(fact: DataFrame, dimension: DataFrame, fact_key: str, dimensi
     There is no broadcast hint for the dimension: a stored one has a known size, and Spark
     broadcasts it up to ``spark.sql.autoBroadcastJoinThreshold``.  A larger one would be
     joined by a shuffle on the key, where a frequent key, or the many rows without one, end
-    in a single task; so it is joined by ``split_join``.
+    in a single task; so it is joined by ``split_join``.  Where the session forbids broadcasts
+    (-1), every dimension is joined by a shuffle, split by adaptive execution at most.
     """
-    if not _is_broadcast(dimension):
+    if _needs_split(dimension):
         return split_join(fact, dimension, fact_key, dimension_key)
     return fact.join(dimension, fact[fact_key] == dimension[dimension_key], "left")
 
 
-def _is_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's estimate lets Spark broadcast ``df`` by itself."""
-    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= most
+def _needs_split(dimension: DataFrame) -> bool:
+    """Whether the planner takes ``dimension`` for larger than what it may broadcast."""
+    most = dimension.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= most < int(dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def split_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
@@ -66,9 +66,10 @@ def split_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_k
 
 
 def _frequent_keys(keys: DataFrame, key: str) -> DataFrame:
-    """At most ``HEAVY`` keys (``key``), among them every one with more than a ``HEAVY``-th of the rows or so."""
-    top = keys.agg(F.expr(f"approx_top_k({key}, {HEAVY}, {COUNTERS})").alias("top"))
-    return top.select(F.explode("top").alias("top")).select(F.col("top.item").alias("key")).dropna()
+    """The keys (``key``) that a sketch gives a ``HEAVY``-th of the rows or more; it never gives too few."""
+    top = keys.agg(F.expr(f"approx_top_k({key}, {HEAVY}, {COUNTERS})").alias("top"), F.count("*").alias("rows"))
+    top = top.select("rows", F.explode("top").alias("top")).where(F.col("top.count") * HEAVY >= F.col("rows"))
+    return top.select(F.col("top.item").alias("key")).dropna()
 
 
 def join_listed_dimension(

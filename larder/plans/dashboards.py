@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.aggregates import group_summary
+from larder.operators.exact import exact_means
 from larder.operators.predicates import all_of
 
 
@@ -20,9 +21,8 @@ def score_by_country(
     grades: DataFrame, grade: Iterable[str] | None = None, region: Iterable[str] | None = None
 ) -> DataFrame:
     """Map: mean of the mean scores per country."""
-    return _slice(grades, nutrition_grade_fr=grade, region=region).groupBy("country").agg(
-        F.avg("avg_nutriscore_score").alias("avg_score")
-    )
+    chosen = _slice(grades, nutrition_grade_fr=grade, region=region)
+    return exact_means(chosen, ["country"], {"avg_score": "avg_nutriscore_score"}, {})
 
 
 def sugar_by_product(
@@ -67,8 +67,6 @@ def feature_kpis(
     features: DataFrame, grade: Iterable[str] | None = None, category: Iterable[str] | None = None
 ) -> DataFrame:
     """Cards: mean sugar, energy and protein of the chosen products."""
-    return _slice(features, nutrition_grade_fr=grade, main_category=category).agg(
-        F.avg("sugars_100g").alias("avg_sugars"),
-        F.avg("energy_100g").alias("avg_energy"),
-        F.avg("proteins_100g").alias("avg_proteins"),
-    )
+    chosen = _slice(features, nutrition_grade_fr=grade, main_category=category)
+    means = {"avg_sugars": "sugars_100g", "avg_energy": "energy_100g", "avg_proteins": "proteins_100g"}
+    return exact_means(chosen, [], means, {})

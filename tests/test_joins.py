@@ -10,7 +10,7 @@ from larder.operators import joins
 from larder.operators.joins import join_dimension, join_listed_dimension, split_join
 from larder.sources.scratch import store
 
-NO_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
 
 def same_rows(df, expected):
@@ -57,15 +57,15 @@ def test_keys_of_many_rows_are_not_broadcast(spark, monkeypatch, tables):
     same_rows(joined, fact.join(dimension, fact["key"] == dimension["key"], "left"))
 
 
-@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+@pytest.mark.parametrize("threshold", ["-1", "1", "10MB"])
 def test_with_and_without_broadcast(setting, tables, threshold):
     fact, dimension = tables
     expected = fact.join(dimension, fact["key"] == dimension["key"], "left")
     rows = Counter(map(tuple, expected.collect()))
-    setting(NO_BROADCAST, threshold)
+    setting(THRESHOLD, threshold)
     joined = join_dimension(fact, dimension, "key", "key")
     plan = joined._jdf.queryExecution().toString()
-    assert ("Union" in plan) == (threshold == "-1")
+    assert ("Union" in plan) == (threshold == "1")
     assert Counter(map(tuple, joined.collect())) == rows
 
 
@@ -73,14 +73,14 @@ def test_listed_items(setting, spark):
     fact = spark.createDataFrame([(1, "a, b,,a"), (2, None), (3, ""), (4, "c")], "id long, list string")
     dimension = spark.createDataFrame([("a", 1), ("c", 3)], "name string, v int")
     expected = Counter(map(tuple, join_listed_dimension(fact, dimension, "list", "item", "name").collect()))
-    setting(NO_BROADCAST, "-1")
+    setting(THRESHOLD, "1")
     assert Counter(map(tuple, join_listed_dimension(fact, dimension, "list", "item", "name").collect())) == expected
 
 
 def test_no_task_has_over_twice_the_median(spark, setting, uncoalesced):
     """Four fifths of the rows have one key, a tenth none; adaptive execution is off."""
     setting("spark.sql.adaptive.enabled", "false")
-    setting(NO_BROADCAST, "-1")
+    setting(THRESHOLD, "1")
     setting("spark.sql.shuffle.partitions", "16")
     key = F.when(F.col("id") % 10 < 8, F.lit(-1)).when(F.col("id") % 10 == 8, F.lit(None)).otherwise(F.col("id"))
     fact = store(spark.range(400_000).withColumn("key", key.cast("bigint")).repartition(16), "skewed")
