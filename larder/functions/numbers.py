@@ -16,8 +16,13 @@ def lenient_double(value: str | Column) -> Column:
 
 
 def lenient_long(value: str | Column) -> Column:
-    """Whole part of a number or numeric text, exact up to the largest long."""
-    return as_column(value).try_cast("decimal(38,6)").try_cast("bigint")
+    """Whole part of a number or numeric text, exact up to the largest long.
+
+    The fraction is cut off as text, so no number of decimals rounds it up.
+    """
+    text = as_column(value).cast("string")
+    whole = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+    return F.coalesce(F.nullif(whole, F.lit("")), text).try_cast("decimal(38,18)").try_cast("bigint")
 
 
 def lenient_int(value: str | Column) -> Column:

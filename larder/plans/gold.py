@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import is_present, lenient_int
 from larder.operators.aggregates import group_summary, item_frequency, with_percent_of_rows
-from larder.operators.quality import schema_problems
+from larder.operators.quality import contract_report, schema_problems
 from larder.operators.ranking import (
     keep_one,
     ordering,
@@ -20,11 +20,18 @@ from larder.operators.ranking import (
 from larder.operators.shape import project
 from larder.plans.runner import RunReport, run_steps
 from larder.plans.silver import additive_items
-from larder.schemas import MART_LOOKUP_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS, TOP_PER_CATEGORY
+from larder.schemas import (
+    MART_LOOKUP_COLUMNS,
+    MART_SCHEMAS,
+    MART_SORT_KEYS,
+    MART_UNIQUE_KEYS,
+    TOP_PER_CATEGORY,
+)
 from larder.sources.export import export_csv
 from larder.sources.jdbc import Database, write_jdbc
 from larder.sources.lake import write_clustered
 from larder.sources.scratch import store
+from larder.sources.staging import STAGING, drop_folder, put_in_place
 
 
 def sugar_mart(enriched: DataFrame, n: int = TOP_PER_CATEGORY) -> DataFrame:
@@ -121,7 +128,9 @@ def publish_marts(
 ) -> RunReport:
     """Build each mart once into clustered Parquet under ``path``, then copy it to ``database``.
 
-    Marts are independent: one that fails is reported and the others still go out.
+    Marts are independent: one that fails is reported and the others still go out.  A mart is
+    written beside the one of the run before and takes its place only if it keeps its
+    contract: schema, and keys that do not repeat.
     ``enriched`` should be the stored silver table.
     """
     spark = enriched.sparkSession
@@ -133,7 +142,14 @@ def publish_marts(
             if problems:
                 raise ValueError(f"{name}: {'; '.join(problems)}")
             lookup, *spread = MART_LOOKUP_COLUMNS[name]
-            write_clustered(mart, f"{path}/{name}", lookup, spread)
+            staged = f"{path}/{STAGING}"
+            try:
+                write_clustered(mart, f"{staged}/{name}", lookup, spread)
+                _refuse_repeated_keys(read_mart(spark, staged, name), name)
+            except Exception:
+                drop_folder(spark, f"{staged}/{name}")
+                raise
+            put_in_place(spark, f"{staged}/{name}", f"{path}/{name}")
             stored = read_mart(spark, path, name)
             if database is not None:
                 write_jdbc(stored, database, name)
@@ -144,6 +160,14 @@ def publish_marts(
     return run_steps({n: step(n, b) for n, b in mart_builders(top_n).items()}, only)
 
 
+def _refuse_repeated_keys(stored: DataFrame, name: str) -> None:
+    keys = MART_UNIQUE_KEYS.get(name)
+    if keys:
+        repeated = contract_report({name: stored}, MART_SCHEMAS, {name: keys}).first()["repeated_keys"]
+        if repeated:
+            raise ValueError(f"{name}: {repeated} rows repeat a key of {', '.join(keys)}")
+
+
 def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(MART_SCHEMAS[name]).parquet(f"{path}/{name}")
 

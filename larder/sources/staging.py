@@ -96,6 +96,24 @@ class Replacement:
             self._folders.rename(self.folder, self._date)
 
 
+def put_in_place(spark: SparkSession, new: str, target: str) -> None:
+    """Let the folder ``new`` take the place of ``target``, which it may read or not find.
+
+    If a run stops between the two renames, ``target`` is absent until the next run.
+    """
+    folders, old = _Folders(spark, target), f"{new}{_OLD}"
+    folders.delete(old)
+    if folders.exists(target):
+        folders.rename(target, old)
+    folders.rename(new, target)
+    folders.delete(old)
+    spark.catalog.refreshByPath(target)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    _Folders(spark, path).delete(path)
+
+
 def next_table(table: str) -> str:
     """Name under which the next version of ``table`` is written."""
     return f"{table}{_NEXT}"

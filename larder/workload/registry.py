@@ -1034,6 +1034,25 @@ def country_type_drift(spark, sf_dir):
     )
 
 
+@registered(
+    "lenient_long_decimals",
+    """select l_orderkey, l_linenumber, cast(trunc(l_quantity) as bigint) as nines,
+              -cast(trunc(l_quantity) as bigint) as negative, cast(l_orderkey as bigint) as no_digits
+       from lineitem""",
+)
+def lenient_long_decimals(spark, sf_dir):
+    """Seven decimals and thirty are cut, not rounded; a point may end the number."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    whole = F.floor("l_quantity").cast("string")
+    return lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        lenient_long(F.concat(whole, F.lit(".9999999"))).alias("nines"),
+        lenient_long(F.concat(F.lit(" -"), whole, F.lit("." + "9" * 30))).alias("negative"),
+        lenient_long(F.concat(F.col("l_orderkey").cast("string"), F.lit("."))).alias("no_digits"),
+    )
+
+
 @registered(
     "lenient_long",
     """select l_orderkey, l_linenumber, cast(l_orderkey as bigint) as plain,

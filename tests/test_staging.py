@@ -1,14 +1,15 @@
 """Replacing a date: what a run leaves that fails or stops at any step."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
+from larder.plans import gold
 from larder.sources import lake, staging, tables
 from larder.sources.lake import read_dated, write_date
 from larder.sources.scratch import new_path
 
-from datetime import date
-
 DAY, OTHER = date(2024, 5, 14), date(2024, 5, 13)
 
 
@@ -99,3 +100,15 @@ def test_swapping_a_table_can_be_repeated(spark, published):
         staging.swap_table(spark, name)
         assert spark.table(name).count() == rows
     assert not spark.catalog.tableExists(f"{name}__old")
+
+
+def test_a_mart_with_a_repeated_code_is_refused(spark, golden, tmp_path, monkeypatch):
+    path, name = str(tmp_path / "marts"), "dm_ml_nutriscore_prediction"
+    before = gold.publish_marts(golden.enriched, path).raise_on_error().results[name]
+    once = gold.feature_mart
+    monkeypatch.setattr(gold, "feature_mart", lambda enriched: once(enriched).union(once(enriched).limit(1)))
+    report = gold.publish_marts(golden.enriched, path)
+    assert list(report.errors) == [name] and "1 rows repeat" in report.errors[name] and len(report.results) == 3
+    assert gold.read_mart(spark, path, name).count() == before
+    monkeypatch.undo()
+    assert gold.publish_marts(golden.enriched, path, [name]).raise_on_error().results[name] == before
