@@ -325,11 +325,11 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = (
         docs.filter(F.col("text").isNotNull())
         .join(F.broadcast(chosen), "doc_id")  # 2 * SAMPLE ids at most
-        .select("doc_id", F.encode("text", "utf-8").alias("raw"), "toxic")
-        .orderBy("doc_id", "raw")
-        .limit(2 * SAMPLE)
+        .groupBy("doc_id", "toxic")  # rows that repeat an id are learnt once, by their smallest text
+        .agg(F.min(F.encode("text", "utf-8")).alias("raw"))
         .collect()
     )
+    rows.sort(key=lambda r: r["doc_id"])
     return learn([bytes(r["raw"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool))
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 
 from larder.llm import bpe, language, licenses, mixing, quality, toxicity
@@ -99,6 +100,16 @@ def test_toxic_held_out_rows_are_found(edge_docs, marked):
     assert kept == {i for i, r in found.items() if not r["predicted"]}
 
 
+def test_repeated_rows_leave_the_machine_as_it_is(marked):
+    """Ten thousand copies of a clean labelled row of low id push no other row out of the sample."""
+    docs, labels = marked
+    copied = next(i for i in range(600) if i % 4 and not held_out(i))
+    copies = docs.filter(F.col("doc_id") == copied).crossJoin(docs.sparkSession.range(10_000)).drop("id")
+    before = by_id(toxicity.toxicity_report(docs, labels))
+    after = by_id(toxicity.toxicity_report(docs.union(copies), labels).dropDuplicates(["doc_id"]))
+    assert {i: r["score"] for i, r in after.items()} == pytest.approx({i: r["score"] for i, r in before.items()})
+
+
 def test_subsequences_match_plain_kernel():
     rng = random.Random(1)
     vocabulary = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9))) for _ in range(30)]
