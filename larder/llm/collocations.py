@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.tables import ship_package, stored
+from larder.llm.tables import discard, ship_package, stored
 from larder.operators.ranking import top_n_per_group
 
 #: Bytes of text in a block, cells along a tile's side, pairs per cell of a dense tile at least.
@@ -232,27 +232,37 @@ def _frequent(parts: DataFrame, item: list[str], least: int) -> DataFrame:
 
 
 def _words(docs: DataFrame, least: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The numbered blocks, the frequent words, and the words of each language in all."""
+    """The numbered blocks, the uses of the frequent words, and the words of each language in all."""
     rows = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "text")
     schema = "block bigint, lang string, words array<string>, counts array<bigint>, codes binary"
     blocks = stored(rows.mapInArrow(partial(_gather, limit), schema), "blocks")
     listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word"))
     words = listed.select("block", "lang", "place", F.col("word.words").alias("word"), F.col("word.counts").alias("n"))
-    n = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    n = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     uses = stored(_frequent(words, ["lang", "word"], least), "uses-1")
+    places = uses.select("block", "place", "a", "id")
+    numbered = stored(_numbered(blocks.select("block", "codes"), places, _number_words), "level-1")
+    discard(blocks)
+    return numbered, uses, n
+
+
+def _single(uses: DataFrame) -> DataFrame:
+    """The frequent words as phrases of one word."""
     none = F.array().cast("array<bigint>")
-    known = uses.filter("first").select(
+    return uses.filter("first").select(
         "id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"),
         none.alias("firsts"), none.alias("lasts"),
     )
-    places = uses.select("block", "place", "a", "id")
-    return stored(_numbered(blocks.select("block", "codes"), places, _number_words), "level-1"), known, n
 
 
-def _longer(blocks: DataFrame, shorter: DataFrame, least: int, level: int) -> tuple[DataFrame, DataFrame]:
-    """The blocks in numbers of the frequent phrases one word longer than ``shorter``, and these phrases."""
-    uses = blocks.mapInArrow(_pairs, "block bigint, x bigint, y bigint, n bigint")
-    uses = stored(_frequent(uses, ["x", "y"], least), f"uses-{level}")
+def _uses(blocks: DataFrame, least: int, level: int) -> DataFrame:
+    """Where the frequent pairs of the blocks' items are used."""
+    pairs = blocks.mapInArrow(_pairs, "block bigint, x bigint, y bigint, n bigint")
+    return stored(_frequent(pairs, ["x", "y"], least), f"uses-{level}")
+
+
+def _longer(uses: DataFrame, shorter: DataFrame, level: int) -> DataFrame:
+    """The frequent phrases that pairs of ``shorter`` ones make, one word longer."""
     left = shorter.select(
         F.col("id").alias("x"), "lang", F.col("phrase").alias("head"), F.col("firsts").alias("before"),
         F.col("a").alias("x_a"),
@@ -265,8 +275,7 @@ def _longer(blocks: DataFrame, shorter: DataFrame, least: int, level: int) -> tu
         F.concat("before", F.array("x_a")).alias("firsts"), F.concat("after", F.array("y_a")).alias("lasts"),
         "x", "y",
     )
-    numbered = _numbered(blocks, uses.select("block", "x", "y", "a", "id"), _number_pairs)
-    return numbered, stored(phrases, f"phrases-{level}")
+    return stored(phrases, f"phrases-{level}")
 
 
 def _cut(k: int, words: int) -> Column:
@@ -302,10 +311,19 @@ def collocations(
     ``block``, bytes of text, affects speed and memory only.
     """
     ship_package(docs.sparkSession)
-    blocks, words, n = _words(docs, least, block)
-    blocks, pairs = _longer(blocks, words, least, 2)
-    blocks, triples = _longer(stored(blocks, "level-2"), pairs, least, 3)
-    _, fours = _longer(stored(blocks, "level-3"), triples, least, 4)
+    blocks, uses, n = _words(docs, least, block)
+    phrases = [_single(uses)]
+    for level in (2, 3, 4):
+        pairs = _uses(blocks, least, level)
+        phrases.append(_longer(pairs, phrases[-1], level))
+        discard(uses)
+        uses, before = pairs, blocks
+        if level < 4:
+            numbers = uses.select("block", "x", "y", "a", "id")
+            blocks = stored(_numbered(blocks, numbers, _number_pairs), f"level-{level}")
+        discard(before)
+    discard(uses)
+    _, pairs, triples, fours = phrases
     found = _scored(pairs, 2, triples, inside)
     found = found.unionByName(_scored(triples, 3, fours, inside)).unionByName(_scored(fours, 4, None, inside))
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import larder
-from larder.sources.scratch import store
+from larder.sources.scratch import shared_folder, store
 
 #: A word is a run of characters other than space, tab and the four other line breaks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,3 +85,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables, as ``stored`` gave them, that nothing will read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        inside = files.makeQualified(root).toUri().getPath()
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if not path.toUri().getPath().startswith(f"{inside}/"):
+                raise ValueError(f"{folder} is not in the folder for stored tables")
+            files.delete(path, True)
