@@ -33,9 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.tables import discard, ship_package, stored
+from larder.llm.tables import discard, ship_package
+from larder.llm.tables import stored as stored_as
 from larder.operators.ranking import top_n_per_group
 
+#: Blocks and uses are most of what the operator keeps on disk, so they are packed well.
+stored = partial(stored_as, compression="zstd")
+
 #: Bytes of text in a block, cells along a tile's side, pairs per cell of a dense tile at least.
 BLOCK, TILE, DENSE = 1 << 24, 256, 1 / 2
 
@@ -67,7 +71,7 @@ class _Block:
         codes = np.concatenate(self.parts)
         counts = np.bincount(codes[codes >= 0], minlength=len(self.numbers) - 2)
         words = [w.decode() for w in self.numbers][2:]
-        return block, lang, words, counts, codes.astype("<i4").tobytes()
+        return block, lang, words, counts, _packed(codes, "<i4")
 
 
 _BLOCKS = pa.schema(
@@ -142,8 +146,19 @@ def _array(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).to_numpy()
 
 
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """The values' lowest bytes, then their second bytes and so on, as the high ones are alike."""
+    values = np.ascontiguousarray(values, kind)
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unpacked(values: pa.Scalar, kind: str) -> np.ndarray:
+    raw = np.frombuffer(values.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).view(kind).ravel()
+
+
 def _contents(ids: pa.Scalar, codes: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(codes.as_buffer(), "<i4")
+    return _unpacked(ids, "<i8"), _unpacked(codes, "<i4")
 
 
 _STEP = 1 << 16
@@ -166,7 +181,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encoded_block(block: int, ids: np.ndarray, codes: np.ndarray) -> pa.Table:
     """One row: the numbers in use, ranked, and the text as places in them; gaps are one -1."""
     codes = codes[(codes >= 0) | (np.append(codes[1:], -1) >= 0)]
-    values = [block, ids.astype("<i8").tobytes(), codes.astype("<i4").tobytes()]
+    values = [block, _packed(ids, "<i8"), _packed(codes, "<i4")]
     names = ["block", "ids", "codes"]
     return pa.table({k: pa.array([v], t) for k, v, t in zip(names, values, (pa.int64(), pa.binary(), pa.binary()))})
 
@@ -177,7 +192,7 @@ def _by_frequency(known: pa.Table) -> np.ndarray:
 
 def _number_words(texts: pa.Table, known: pa.Table) -> pa.Table:
     """A block's words by the numbers of the frequent ones; -1 is any other word or the end of a piece."""
-    codes = np.frombuffer(texts.column("codes")[0].as_buffer(), "<i4")
+    codes = _unpacked(texts.column("codes")[0], "<i4")
     place, ids = _array(known, "place"), _array(known, "id")
     order = _by_frequency(known)
     new = np.full(max(codes.max(initial=0), place.max(initial=0)) + 2, -1, np.int64)
@@ -239,7 +254,9 @@ def _words(docs: DataFrame, least: int, limit: int) -> tuple[DataFrame, DataFram
     listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word"))
     words = listed.select("block", "lang", "place", F.col("word.words").alias("word"), F.col("word.counts").alias("n"))
     n = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    uses = stored(_frequent(words, ["lang", "word"], least), "uses-1")
+    uses = _frequent(words, ["lang", "word"], least)
+    # Only the first use says which word it is.
+    uses = stored(uses.withColumns({c: F.when(F.col("first"), F.col(c)) for c in ("lang", "word")}), "uses-1")
     places = uses.select("block", "place", "a", "id")
     numbered = stored(_numbered(blocks.select("block", "codes"), places, _number_words), "level-1")
     discard(blocks)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import larder
-from larder.sources.scratch import shared_folder, store
+from larder.sources.scratch import new_path, shared_folder, store
 
 #: A word is a run of characters other than space, tab and the four other line breaks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -72,15 +72,20 @@ def bounded_sample(df: DataFrame, keys: list[str], n: int, total: int, seed: int
     return df.filter(order < low).orderBy(order, *keys).limit(n)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back; ``compression`` as Parquet names it.
 
     The shuffles that made it are no longer needed then; collecting the driver's garbage
     lets Spark delete their files at once instead of at some later time.
     """
     spark = df.sparkSession
     ship_package(spark)
-    out = store(df, label)
+    if compression is None:
+        out = store(df, label)
+    else:
+        path = new_path(spark, label)
+        df.write.option("compression", compression).parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
