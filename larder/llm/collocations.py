@@ -149,7 +149,7 @@ def _array(table: pa.Table, column: str) -> np.ndarray:
 def _packed(values: np.ndarray, kind: str) -> bytes:
     """The values' lowest bytes, then their second bytes and so on, as the high ones are alike."""
     values = np.ascontiguousarray(values, kind)
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def _unpacked(values: pa.Scalar, kind: str) -> np.ndarray:
