@@ -170,6 +170,9 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, codes in zip(*batch.columns):
             ids, codes = _contents(ids, codes)
             x, y, n = count_tiled(*_neighbours(codes)[1:])
+            # Rows that share a number stand together, so that the shuffle packs them well.
+            order = np.argsort(x * len(ids) + y)
+            x, y, n = x[order], y[order], n[order]
             for at in range(0, len(n), _STEP):
                 part = slice(at, at + _STEP)
                 blocks = np.full(len(n[part]), block.as_py())
