@@ -41,7 +41,7 @@ from larder.operators.ranking import top_n_per_group
 stored = partial(stored_as, compression="zstd")
 
 #: Bytes of text in a block, cells along a tile's side, pairs per cell of a dense tile at least.
-BLOCK, TILE, DENSE = 1 << 24, 256, 1 / 2
+BLOCK, TILE, DENSE = 1 << 25, 256, 1 / 2
 
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _AS_SEPARATORS = bytes(0x0A if b in _PIECE_ENDS else 0x20 if b == 0x09 else b for b in range(256))
