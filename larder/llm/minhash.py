@@ -10,9 +10,14 @@
    the two signatures are counted, pairs of at least ``m`` go to the exact check on full
    shingle sets, and links merge groups.  Lists of one group are done.
    In the rest, members outside the list's largest group are compared with all others, block
-   by block, by sketches of ``SKETCH`` coordinates; only pairs of different groups that agree on
-   enough of them leave the task, for the exact check.  A pair is left to one list of those
-   it shares.  So every pair that shares a prefix value was compared or already connected.
+   by block.  Odd sketches (Mitzenmacher, Pagh and Pham, 2014) bound from below how many
+   shingles two sets do not share, so a pair that they refuse is no link for certain; long sets,
+   which they tell apart less, must also agree on enough of ``SKETCH`` coordinates.  A pair is
+   left to one list of those it shares.  Of the pairs that pass, a task gives a spanning forest
+   of their groups to the exact check on full sets.  A task whose forest holds is done, as the
+   pairs that it kept back lie in groups now joined; one with a refuted pair is compared once
+   more and gives all pairs of groups still apart.  So every pair that shares a prefix value
+   was compared or is connected.
 4. A group is a connected component over nodes; documents look up that of their set.
 
 * Null and empty texts, and texts without words, have no shingles and stay alone.
@@ -40,8 +45,8 @@ from larder.llm.tables import stored, whole_row
 COORDINATES = 32
 #: Chance that a link at the threshold agrees on fewer coordinates than are asked for.
 MISSED = 1e-6
-#: Coordinates of the sketches of nodes in lists, and nodes in a block.
-SKETCH, BLOCK = 256, 512
+#: Coordinates of the sketches of nodes in lists, bits of their odd sketches, nodes in a block.
+SKETCH, ODD, BLOCK = 256, 4096, 512
 SEED = 20240601
 
 _rng = np.random.default_rng(SEED)
@@ -130,21 +135,29 @@ def fingerprint(k: int) -> Column:
     return measure(F.col("text"))
 
 
+def _odd_sketch(grams: np.ndarray) -> bytes:
+    """For each of ``ODD`` buckets of hashes, whether it holds an odd number of ``grams``."""
+    buckets = (grams >> np.uint64(64 - ODD.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(buckets, minlength=ODD).astype(np.uint8) & 1).tobytes()
+
+
 def _shingle_set(k: int) -> Column:
-    """Struct (set, sketch) of the column ``text``: its sorted shingle hashes, 8 bytes each, and
-    two bytes of each of ``SKETCH`` minima."""
+    """Struct (set, sketch, odd) of the column ``text``: its sorted shingle hashes, 8 bytes each,
+    two bytes of each of ``SKETCH`` minima, and the odd sketch."""
 
-    @arrow_udf("struct<set:binary,sketch:binary>")
+    @arrow_udf("struct<set:binary,sketch:binary,odd:binary>")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sets, sketches = [], []
+            sets, sketches, odds = [], [], []
             for chunk in chunks(texts):
                 grams, bounds = shingles(chunk, k)
-                sets += [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+                each = [grams[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+                sets += [x.tobytes() for x in each]
                 short = (_minima(grams, bounds, SKETCH) >> np.uint64(40)).astype(np.uint16)
                 sketches += [row.tobytes() for row in short]
+                odds += [_odd_sketch(x) for x in each]
             yield pa.StructArray.from_arrays(
-                [pa.array(sets, pa.binary()), pa.array(sketches, pa.binary())], ["set", "sketch"]
+                [pa.array(x, pa.binary()) for x in (sets, sketches, odds)], ["set", "sketch", "odd"]
             )
 
     return collect(F.col("text"))
@@ -160,34 +173,51 @@ def _matches(percent: int, n: int = COORDINATES) -> int:
     return n
 
 
-def _block_pairs(percent: int):
-    """Pairs of different groups in the two blocks of a task that may be similar."""
+def _block_pairs(percent: int, forest: bool):
+    """Pairs of different groups in the two blocks of a task that may be similar; with
+    ``forest`` only as many as join the groups that all of them would join."""
     enough = _matches(percent, SKETCH)
 
     def compare(table: pa.Table) -> pa.Table:
         token, i, j = (table.column(c)[0].as_py() for c in ("token", "i", "j"))
-        own, node, comp = (table.column(c).to_numpy() for c in ("own", "node", "comp"))
+        own, node, comp, n = (table.column(c).to_numpy() for c in ("own", "node", "comp", "n"))
         sketch = np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in table.column("sketch")])
+        odd = np.stack([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("odd")])
         prefix = table.column("prefix").to_pylist()
+        group = np.unique(comp, return_inverse=True)[1]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b = [], []
         for x in left:
-            others = right[comp[right] != comp[x]]
+            others = right[group[right] != group[x]]
             if i == j:
                 others = others[node[others] > node[x]]
+            # Of s shingles in two sets, a link leaves s * (100 - percent) / (100 + percent) unshared.
+            apart = np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1, dtype=np.int64)
+            others = others[(100 + percent) * apart <= (100 - percent) * (n[others] + n[x])]
             agree = np.count_nonzero(sketch[others] == sketch[x], axis=1)
             for y in others[agree >= enough]:
                 # Of the lists that the two share, the one of the smallest value takes the pair.
-                if min(set(prefix[x]) & set(prefix[y])) == token:
+                if group[x] != group[y] and min(set(prefix[x]) & set(prefix[y])) == token:
                     low, high = sorted((int(node[x]), int(node[y])))
                     a.append(low), b.append(high)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                    if forest:
+                        group[group == group[y]] = group[x]
+        return pa.table(
+            {
+                "token": pa.array([token] * len(a), pa.int64()),
+                "i": pa.array([i] * len(a), pa.int32()),
+                "j": pa.array([j] * len(a), pa.int32()),
+                "a": pa.array(a, pa.int64()),
+                "b": pa.array(b, pa.int64()),
+            }
+        )
 
     return compare
 
 
-def _rest_pairs(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different groups in lists (token, node, comp) that hold several."""
+def _blocks(lists: DataFrame) -> DataFrame:
+    """(token, node, own, i, j): the pairs (i, j) of blocks to compare in lists (token, node, comp)
+    that hold several groups, with the members of both."""
     groups = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
     largest = (
         groups.groupBy("token")
@@ -200,11 +230,9 @@ def _rest_pairs(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             f"cast(ceil(top.size / {BLOCK}) as int) as n_major",
         )
     )
-    prefix = lists.groupBy("node").agg(F.collect_list("token").alias("prefix"))
     dealt = lists.join(largest, "token").selectExpr(
         "token",
         "node",
-        "comp",
         "comp = major as is_major",
         "n_other",
         "n_major",
@@ -214,15 +242,52 @@ def _rest_pairs(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     paired = dealt.selectExpr(
         "token",
         "node",
-        "comp",
         "if(is_major, major_block, other_block) as own",
         "explode(sequence(0, if(is_major, n_other, n_other + n_major) - 1)) as partner",
     )
-    blocks = paired.selectExpr(
-        "token", "node", "comp", "own", "least(own, partner) as i", "greatest(own, partner) as j"
+    return paired.selectExpr(
+        "token",
+        "node",
+        "cast(own as int) as own",
+        "cast(least(own, partner) as int) as i",
+        "cast(greatest(own, partner) as int) as j",
+    )
+
+
+def _rest_pairs(blocks: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """(token, i, j, a, b): candidate pairs of different groups in ``blocks``, groups as in ``lists``."""
+    member = lists.groupBy("node").agg(F.max("comp").alias("comp"), F.collect_list("token").alias("prefix"))
+    filled = blocks.join(sets.select("node", "n", "sketch", "odd"), "node").join(member, "node")
+    return filled.groupBy("token", "i", "j").applyInArrow(
+        _block_pairs(percent, forest), "token bigint, i int, j int, a bigint, b bigint"
     )
-    filled = blocks.join(sets.select("node", "sketch"), "node").join(prefix, "node")
-    return filled.groupBy("token", "i", "j").applyInArrow(_block_pairs(percent), "a bigint, b bigint")
+
+
+def _grouped(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """``lists`` with the groups of ``comps``."""
+    found = lists.select("token", "node").join(comps, "node", "left")
+    return stored(found.select("token", "node", F.coalesce("comp", "node").alias("comp")), "postings")
+
+
+def _groups_of(links: DataFrame, lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, comp): the groups of ``links`` and of all other links between members of a list."""
+    comps = components(links)
+    lists = _grouped(lists, comps)
+    blocks = _blocks(lists)
+    pairs = stored(_rest_pairs(blocks, lists, sets, percent, forest=True), "candidates")
+    if pairs.isEmpty():
+        return comps
+    found = stored(_linked(pairs.select("a", "b"), sets, percent), "links")
+    links = links.unionByName(found)
+    comps = components(links)
+    refuted = stored(pairs.join(found, ["a", "b"], "left_anti"), "refuted")
+    if refuted.isEmpty():
+        return comps
+    again = blocks.join(refuted.select("token", "i", "j").distinct(), ["token", "i", "j"], "left_semi")
+    kept_back = _rest_pairs(again, _grouped(lists, comps), sets, percent, forest=False).select("a", "b")
+    kept_back = stored(kept_back.join(refuted, ["a", "b"], "left_anti"), "candidates")
+    found = stored(_linked(kept_back, sets, percent), "links")
+    return comps if found.isEmpty() else components(links.unionByName(found))
 
 
 def _similar(percent: int) -> Column:
@@ -297,23 +362,17 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # Numbered once and written, so that the numbers stay the same for all later reads.
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     lists = stored(_posting_lists(nodes, percent).withColumn("comp", F.col("node")), "postings")
-    wanted = lists.select("node").distinct().join(nodes, "node").select("node", "least_id", "hi", "lo")
+    wanted = lists.select("node").distinct().join(nodes, "node").select("node", "least_id", "hi", "lo", "n")
     texts = docs.select("doc_id", "text").join(
         wanted.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi"
     )
     made = texts.select(fingerprint_digest(k).alias("d"), _shingle_set(k).alias("s"))
     sets = made.select("d.hi", "d.lo", "s.*").join(wanted, ["hi", "lo"]).dropDuplicates(["node"])
-    sets = stored(sets.select("node", "set", "sketch"), "sets")
+    sets = stored(sets.select("node", "n", "set", "sketch", "odd"), "sets")
 
     hubs = lists.groupBy("token").agg(F.min(F.struct("node", "comp")).alias("hub")).select("token", "hub.*")
     links = stored(_linked(_candidates(lists, hubs, nodes, percent), sets, percent), "links")
-    comps = components(links)
-    lists = lists.drop("comp").join(comps, "node", "left")
-    lists = stored(lists.select("token", "node", F.coalesce("comp", "node").alias("comp")), "postings")
-    rest = stored(_rest_pairs(lists, sets, percent), "candidates")
-    more = stored(_linked(rest, sets, percent), "links")
-    if not more.isEmpty():
-        comps = components(links.unionByName(more))
+    comps = _groups_of(links, lists, sets, percent)
 
     member = nodes.select("hi", "lo", "node", "least_id")
     named = member.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

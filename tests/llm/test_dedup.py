@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from larder.llm import exact_dedup, line_dedup, minhash, oracle, suffix_dedup
@@ -166,6 +168,87 @@ def test_near_chain_and_large_group_match_sql(spark, by_sql):
     same(minhash.near_groups(docs, 3, 85), by_sql(oracle.NEAR_DEDUP, rows))
 
 
+def shingles_of(text, k=3):
+    words = text.split()
+    return {tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1))}
+
+
+def groups_by_force(rows, percent=85):
+    sets = {i: shingles_of(text) for i, text in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((find(a), find(b)))
+                parent[high] = low
+    return {i: find(i) for i in ids}
+
+
+def test_near_misses_over_several_blocks_match_force(spark):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(700):  # about as alike as asked: some pairs just reach 85 %, most just miss it
+        copy = list(base)
+        for at in rng.sample(range(150), rng.choice([4, 5, 5, 6, 6])):
+            copy[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(copy)))
+    for i in range(700, 760):  # two to a text, whatever the rest
+        rows.append((i, rows[rng.randrange(700)][1] + f" end{i}"))
+    expected = groups_by_force(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in minhash.near_groups(docs, 3, 85).collect()}
+    assert found == expected
+    assert len(set(expected.values())) > 50
+
+
+def block_table(sets, groups):
+    grams = [np.array(sorted(s), np.uint64) for s in sets]
+    flat, bounds = np.concatenate(grams), np.cumsum([0, *map(len, grams)])
+    sketch = (minhash._minima(flat, bounds, minhash.SKETCH) >> np.uint64(40)).astype(np.uint16)
+    n = len(sets)
+    return pa.table(
+        {
+            "token": [5] * n, "i": [0] * n, "j": [0] * n, "own": [0] * n, "node": list(range(n)),
+            "comp": groups, "n": [len(g) for g in grams], "sketch": [x.tobytes() for x in sketch],
+            "odd": [minhash._odd_sketch(g) for g in grams], "prefix": [[5, 9]] * n,
+        }
+    )
+
+
+@pytest.mark.parametrize("edits, links", [(3, True), (40, False)])
+def test_near_block_gives_a_forest_not_all_pairs(edits, links):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64 - 1, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(300):  # with 40 edits two texts are about 0.68 alike
+        own = base.copy()
+        own[rng.choice(400, edits, replace=False)] = rng.integers(0, 2**64 - 1, edits, dtype=np.uint64)
+        sets.append(set(own.tolist()))
+    table = block_table(sets, list(range(300)))
+    forest = minhash._block_pairs(85, True)(table)
+    every = minhash._block_pairs(85, False)(table)
+    assert (forest.num_rows, every.num_rows) == ((299, 300 * 299 // 2) if links else (0, 0))
+
+
+def test_odd_sketch_never_exceeds_what_differs():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 50, 5000, 40000):
+        shared = rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([shared, rng.integers(0, 2**64 - 1, n // 9 + 1, dtype=np.uint64)])) for _ in "ab")
+        one, two = (np.frombuffer(minhash._odd_sketch(x), np.uint64) for x in (a, b))
+        assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
+
+
 def test_near_repeats_and_null_ids(edge_docs):
     found = rows_of(minhash.near_groups(edge_docs, 3, 85))
     assert len(found) == edge_docs.count()
