@@ -90,6 +90,12 @@ def _set_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _digests(grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of each text's set digest."""
+    sums = (_set_sums(x, bounds) for x in (mixed(grams), mixed(grams ^ np.uint64(SEED))))
+    return tuple(x.view(np.int64) for x in sums)
+
+
 def _minima(grams: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     """The smallest hash of each text's shingles under each of ``n`` functions; 0 without shingles."""
     present = np.flatnonzero(np.diff(bounds))
@@ -121,8 +127,8 @@ def fingerprint(k: int) -> Column:
             for chunk in chunks(texts):
                 grams, bounds = shingles(chunk, k)
                 n.append(np.diff(bounds))
-                hi.append(_set_sums(mixed(grams), bounds).view(np.int64))
-                lo.append(_set_sums(mixed(grams ^ np.uint64(SEED)), bounds).view(np.int64))
+                for digest, part in zip((hi, lo), _digests(grams, bounds), strict=True):
+                    digest.append(part)
                 tokens.append(_signatures(grams, bounds))
             flat = np.concatenate(tokens).ravel() if tokens else np.zeros(0, np.int64)
             offsets = np.arange(0, len(flat) + 1, COORDINATES, dtype=np.int32)
@@ -142,25 +148,32 @@ def _odd_sketch(grams: np.ndarray) -> bytes:
 
 
 def _shingle_set(k: int) -> Column:
-    """Struct (set, sketch, odd) of the column ``text``: its sorted shingle hashes, 8 bytes each,
-    two bytes of each of ``SKETCH`` minima, and the odd sketch."""
+    """Struct (hi, lo, set, sketch, odd) of the column ``text``: the set digest, the sorted shingle
+    hashes, 8 bytes each, two bytes of each of ``SKETCH`` minima, and the odd sketch."""
 
-    @arrow_udf("struct<set:binary,sketch:binary,odd:binary>")
+    @arrow_udf("struct<hi:bigint,lo:bigint,set:binary,sketch:binary,odd:binary>")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
+            hi, lo = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             sets, sketches, odds = [], [], []
             for chunk in chunks(texts):
                 grams, bounds = shingles(chunk, k)
+                for digest, part in zip((hi, lo), _digests(grams, bounds), strict=True):
+                    digest.append(part)
                 each = [grams[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
                 sets += [x.tobytes() for x in each]
                 short = (_minima(grams, bounds, SKETCH) >> np.uint64(40)).astype(np.uint16)
                 sketches += [row.tobytes() for row in short]
                 odds += [_odd_sketch(x) for x in each]
+            digests = [pa.array(np.concatenate(x)) for x in (hi, lo)]
             yield pa.StructArray.from_arrays(
-                [pa.array(x, pa.binary()) for x in (sets, sketches, odds)], ["set", "sketch", "odd"]
+                digests + [pa.array(x, pa.binary()) for x in (sets, sketches, odds)],
+                ["hi", "lo", "set", "sketch", "odd"],
             )
 
-    return collect(F.col("text"))
+    # Else the join on the digest puts a filter on it below the choice of texts, which would
+    # measure every text once more.
+    return collect.asNondeterministic()(F.col("text"))
 
 
 def _matches(percent: int, n: int = COORDINATES) -> int:
@@ -366,8 +379,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     texts = docs.select("doc_id", "text").join(
         wanted.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi"
     )
-    made = texts.select(fingerprint_digest(k).alias("d"), _shingle_set(k).alias("s"))
-    sets = made.select("d.hi", "d.lo", "s.*").join(wanted, ["hi", "lo"]).dropDuplicates(["node"])
+    made = texts.select(_shingle_set(k).alias("s")).select("s.*")
+    sets = made.join(wanted, ["hi", "lo"]).dropDuplicates(["node"])
     sets = stored(sets.select("node", "n", "set", "sketch", "odd"), "sets")
 
     hubs = lists.groupBy("token").agg(F.min(F.struct("node", "comp")).alias("hub")).select("token", "hub.*")
@@ -389,24 +402,6 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
-def fingerprint_digest(k: int) -> Column:
-    """Struct (hi, lo) of the column ``text``: the set digest alone."""
-
-    @arrow_udf("struct<hi:bigint,lo:bigint>")
-    def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            hi, lo = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for chunk in chunks(texts):
-                grams, bounds = shingles(chunk, k)
-                hi.append(_set_sums(mixed(grams), bounds).view(np.int64))
-                lo.append(_set_sums(mixed(grams ^ np.uint64(SEED)), bounds).view(np.int64))
-            yield pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(hi)), pa.array(np.concatenate(lo))], ["hi", "lo"]
-            )
-
-    return measure(F.col("text"))
-
-
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group; all columns as they are."""
     gone = near_groups(docs, k, percent).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
