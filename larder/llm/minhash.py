@@ -40,7 +40,7 @@ from pyspark.sql.functions import arrow_udf
 
 from larder.llm.components import components
 from larder.llm.nptext import Chunk, Hasher, chunks, mixed, text_of, words
-from larder.llm.tables import stored, whole_row
+from larder.llm.tables import small_batches, stored, whole_row
 
 COORDINATES = 32
 #: Chance that a link at the threshold agrees on fewer coordinates than are asked for.
@@ -365,6 +365,22 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    with small_batches(docs.sparkSession):  # all that runs Python is stored in here
+        measured, named = _measured_and_named(docs, k, percent)
+    least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
+    member = named.join(least, "comp").select("hi", "lo", "component_id")
+    grouped = measured.filter("n > 0").join(member, ["hi", "lo"]).select("doc_id", "n", "component_id")
+    alone = measured.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return grouped.unionByName(alone).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def _measured_and_named(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Set size and digest (hi, lo) of every document, and the group (comp) of every distinct set."""
     measured = docs.select("doc_id", fingerprint(k).alias("m")).select("doc_id", "m.*")
     measured = stored(measured, "signatures")
     nodes = (
@@ -389,17 +405,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     member = nodes.select("hi", "lo", "node", "least_id")
     named = member.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = stored(named, "members")
-    least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    member = named.join(least, "comp").select("hi", "lo", "component_id")
-    grouped = measured.filter("n > 0").join(member, ["hi", "lo"]).select("doc_id", "n", "component_id")
-    alone = measured.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(alone).select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-    )
+    return measured, stored(named, "members")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

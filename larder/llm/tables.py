@@ -12,6 +12,8 @@ import os
 import string
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +94,25 @@ def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFra
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> Iterator[None]:
+    """Send Python workers batches of at most so many rows and bytes for what runs inside.
+
+    The JVM and the worker each hold a batch of what goes in and of what comes out, beside the
+    heap, so large columns need smaller batches than Spark's.  The session's settings return.
+    """
+    wanted = {"maxRecordsPerBatch": str(rows), "maxBytesPerBatch": size}
+    wanted = {f"spark.sql.execution.arrow.{name}": value for name, value in wanted.items()}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables, as ``stored`` gave them, that nothing will read any more."""
     for table in tables:
