@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import bpe, line_dedup, minhash, mixing, toxicity
 from larder.llm.queries import RANKS
-from larder.llm.tables import read_table, ship_package, stored
+from larder.llm.tables import read_table, ship_package, small_batches, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +48,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document of the mix: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    # Workers of earlier stages stay alive, so none should keep large batches.
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
