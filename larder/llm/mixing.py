@@ -1,6 +1,7 @@
 """Mixing sources to target weights by a hypergeometric splitting tree.
 
-1. Every source is cut into ``BLOCKS`` blocks by a seeded hash of doc_id.
+1. Every source is cut into ``BLOCKS`` blocks by a seeded hash of doc_id, or of the text of
+   rows without one.
 2. Target words per source: its weight's share of ``SHARE`` times all words, at most
    ``MOST`` times its own words; what is over is shared again by weight.  The water level is
    found in closed form over the sources sorted by the level at which they fill up.
@@ -19,8 +20,8 @@ blocks, and its sums are combined before the shuffle.
 
 * A null text has size 0.  A null source is a source of its own and comes last.
 * Sources without words have target 0.  An empty table gives no rows.
-* Rows that repeat a doc_id within a source are taken together.  A null doc_id shares one
-  block of its source and is never the closest document.
+* Rows that repeat a doc_id within a source are taken together, as are rows without an id of
+  equal text, whatever their number.  A row without an id is never the closest document.
 """
 
 from __future__ import annotations
@@ -37,8 +38,13 @@ WEIGHTS = (5, 2, 1)
 SEED = 20240601
 
 
+def _name(text: str = "text") -> list[Column]:
+    """What a row is hashed by: its doc_id, else its text.  Hashes pass over nulls."""
+    return [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col(text))]
+
+
 def _block() -> Column:
-    return F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(BLOCKS)).cast("int")
+    return F.pmod(F.xxhash64(F.lit(SEED), *_name()), F.lit(BLOCKS)).cast("int")
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -237,7 +243,7 @@ def mix(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     taken = _with_draws(rows, drawn, fills).select(
         "row", "doc_id", F.posexplode("shards").alias("copy", "shard")
     )
-    order = F.xxhash64(F.lit(SEED + 4), "shard", "doc_id", "copy")
+    order = F.xxhash64(F.lit(SEED + 4), "shard", *_name("row.text"), "copy")
     return (
         taken.withColumn("order", order)
         .repartitionByRange("shard", "order")

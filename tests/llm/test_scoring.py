@@ -321,6 +321,21 @@ def test_tree_deals_out_every_quota(spark):
     assert min(big) > 0.8 * 700 / 8 and max(big) < 1.2 * 700 / 8
 
 
+def test_mix_meets_its_targets_with_half_of_the_ids_null(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(6000):
+        text = " ".join(rng.choice("abcdefgh") * 2 for _ in range(rng.randrange(1, 12))) + f" t{i}"
+        rows.append((None if i % 2 else i, "abc"[i % 3], text))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    by_source = F.first("target").alias("target"), F.sum("taken").alias("taken")
+    found = mixing.mix_report(docs).groupBy("source_size").agg(*by_source).collect()
+    assert len(found) == 3
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target for r in found)
+    mixed = mixing.mix(docs)
+    assert mixed.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(r.taken for r in found)
+
+
 def test_mix_edges(edge_docs, no_docs):
     found = mixing.mix_report(edge_docs).collect()
     assert len(found) == edge_docs.count()
