@@ -7,10 +7,10 @@ for certain.  Fingerprints that occur at two places are joined back to their pos
 each match is extended to the runs of ``RUN`` lines on both sides of it, and a run that
 stood earlier (in order of doc_id, then place) is deleted.
 
-A line is therefore deleted exactly if it lies in ``RUN`` consecutive lines, equal byte for
-byte, that began earlier.  Longer repeats are unions of such runs.  With ``words`` given,
-fewer than ``RUN`` consecutive lines are a run too if they hold more than ``words`` words
-together; each of them is its own fingerprint.  Without it such passages stay.
+Fewer than ``RUN`` consecutive lines are a run too if they hold more than ``words`` words
+together (``WORDS`` unless given); each of them is its own fingerprint.  With ``None`` such
+passages stay.  A line is therefore deleted exactly if it lies in a run, equal byte for byte
+to one that began earlier.  Longer repeats are unions of such runs.
 
 * Null and empty texts have no lines with a word; nothing is removed from them.
 * Lines without a word are not part of a sequence and stay.
@@ -30,6 +30,8 @@ from larder.llm.tables import WORD, stored, text_or_empty, whole_row
 #: Lines in a gram and grams in a window; runs of three lines or more are found.
 GRAM, WINDOW = 2, 2
 RUN = GRAM + WINDOW - 1
+#: One or two lines are a run if they hold more words than this.
+WORDS = 50
 
 
 def _lines() -> F.Column:
@@ -97,7 +99,7 @@ def _wordy_runs(sequences: DataFrame, length: int, words: int) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, words: int | None = None) -> DataFrame:
+def repeated_lines(docs: DataFrame, words: int | None = WORDS) -> DataFrame:
     """(doc_id, text_hash, removed): per document that has any, the line numbers to delete."""
     sequences = stored(_sequences(docs, words), "lines")
     prints = _fingerprints(sequences)
@@ -152,7 +154,7 @@ def _joined(docs: DataFrame, words: int | None) -> DataFrame:
     return rows.join(removed, same, "left").select("row", "id", "old_text", "removed")
 
 
-def line_report(docs: DataFrame, words: int | None = None) -> DataFrame:
+def line_report(docs: DataFrame, words: int | None = WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 (lowercase hex of the text that stays)."""
     lines = F.split(F.coalesce("old_text", F.lit("")), "\n", -1)
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(_without("lines", "removed"))
@@ -168,7 +170,7 @@ def line_report(docs: DataFrame, words: int | None = None) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, words: int | None = None) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, words: int | None = WORDS) -> DataFrame:
     """``docs`` with the text that stays; ``n_chars`` follows it.  Untouched rows are unchanged.
 
     Documents of which no line with a word stays are dropped; those without any to begin

@@ -12,25 +12,32 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
-#: A run of three worded lines is deleted where the same run began earlier.
+#: A run of three worded lines, or of fewer with more than 50 words, is deleted where the same
+#: run began earlier.
 LINE_DEDUP = r"""
 WITH numbered AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS ln
   FROM documents),
 worded AS (
-  SELECT doc_id, line, ln, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p
+  SELECT doc_id, line, ln, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS p
   FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-runs AS (
-  SELECT doc_id, p, md5(line) || md5(lead(line, 1) OVER w) || md5(lead(line, 2) OVER w) AS run
+ahead AS (
+  SELECT doc_id, p, n, md5(line) AS one, lead(md5(line), 1) OVER w AS two,
+         lead(md5(line), 2) OVER w AS three, n + lead(n) OVER w AS n2
   FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+runs AS (
+  SELECT doc_id, p, 1 AS m, one AS run FROM ahead WHERE n > 50
+  UNION ALL SELECT doc_id, p, 2, one || two FROM ahead WHERE n2 > 50
+  UNION ALL SELECT doc_id, p, 3, one || two || three FROM ahead WHERE three IS NOT NULL),
 later AS (
-  SELECT doc_id, p FROM (
-    SELECT doc_id, p, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS nth
-    FROM runs WHERE run IS NOT NULL) WHERE nth > 1),
+  SELECT doc_id, p, m FROM (
+    SELECT doc_id, p, m, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS nth
+    FROM runs) WHERE nth > 1),
 gone AS (
   SELECT DISTINCT l.doc_id, w.ln
-  FROM later l JOIN worded w ON w.doc_id = l.doc_id AND w.p BETWEEN l.p AND l.p + 2)
+  FROM later l JOIN worded w ON w.doc_id = l.doc_id AND w.p BETWEEN l.p AND l.p + l.m - 1)
 SELECT n.doc_id, count(*) AS n_lines, count(g.ln) AS n_removed,
        sha256(coalesce(string_agg(n.line, chr(10) ORDER BY n.ln) FILTER (g.ln IS NULL), ''))
          AS kept_sha256

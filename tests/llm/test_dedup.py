@@ -119,6 +119,20 @@ def test_random_lines_match_sql(spark, by_sql):
     same(line_dedup.line_report(docs), by_sql(oracle.LINE_DEDUP, rows))
 
 
+def test_wordy_lines_match_sql(spark, by_sql):
+    rng = random.Random(6)
+    lines = [" ".join(["w"] * n) for n in (1, 25, 26, 50, 51)] + ["", "\t", "own"]
+    rows = [
+        (i, "\n".join(rng.choice(lines) + rng.choice(["", f" {i}"]) for _ in range(rng.randrange(9))))
+        for i in range(80)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(line_dedup.line_report(docs), by_sql(oracle.LINE_DEDUP, rows))
+    assert sum(r.n_removed for r in line_dedup.line_report(docs).collect()) > sum(
+        r.n_removed for r in line_dedup.line_report(docs, words=None).collect()
+    )
+
+
 def test_one_and_two_lines_of_many_words_are_removed(spark):
     wordy, half = " ".join(["w"] * 9), " ".join(["h"] * 4)
     rng = random.Random(11)
