@@ -7,6 +7,7 @@ extra columns may have any name.  A null text is an empty text.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import string
@@ -74,6 +75,14 @@ def bounded_sample(df: DataFrame, keys: list[str], n: int, total: int, seed: int
     return df.filter(order < low).orderBy(order, *keys).limit(n)
 
 
+def release_memory() -> None:
+    """Give memory that Python no longer uses back to the system, where its C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back; ``compression`` as Parquet names it.
 
@@ -89,7 +98,7 @@ def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFra
         df.write.option("compression", compression).parquet(path)
         out = spark.read.schema(df.schema).parquet(path)
     del df
-    gc.collect()
+    release_memory()
     spark.sparkContext._jvm.System.gc()
     return out
 

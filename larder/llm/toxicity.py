@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, Hasher, chunks, words
-from larder.llm.tables import bounded_sample
+from larder.llm.tables import bounded_sample, release_memory
 
 #: Letters of a subsequence and how many more it may span; weight for each letter spanned.
 LENGTHS, DECAY = {3: 2, 4: 2, 6: 1}, 0.8
@@ -330,7 +330,12 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
         .collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
-    return learn([bytes(r["raw"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool))
+    texts, toxic = [bytes(r["raw"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool)
+    del rows
+    model = learn(texts, toxic)
+    del texts
+    release_memory()  # the driver goes on with the model alone
+    return model
 
 
 def toxicity(model: Model | None) -> Column:
