@@ -152,13 +152,15 @@ class Kernel:
     def per_subsequence(self, weights: np.ndarray) -> np.ndarray:
         """The table that scores words as ``features`` times ``weights`` does."""
         table = np.zeros(_TABLE, np.float32)
-        table[self.used] = self.weight[:-1] @ (self.whiten @ weights)
+        combined = self.whiten @ weights
+        for first in range(0, len(self.used), 4096):
+            places = self.used[first : first + 4096]
+            table[places] = self.weight[first : first + len(places)] @ combined
         return table
 
 
 def _fit_margin(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Weights (the last is the bias) of least squared hinge loss, by Newton steps on the rows within the margin."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)])
+    """Weights (the last is the bias, as the last of ``x`` is 1) of least squared hinge loss, by Newton steps on the rows within the margin."""
     penalty = np.eye(x.shape[1])
     penalty[-1, -1] = 1e-6
 
@@ -168,10 +170,12 @@ def _fit_margin(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarra
     w, best = start, loss(start)
     for _ in range(STEPS):
         within = y * (x @ w) < 1
-        weighted = x[within] * cost[within, None].astype(x.dtype)
-        new = np.linalg.solve(
-            penalty + (weighted.T @ x[within]).astype(np.float64), weighted.T @ y[within]
-        )
+        inside = x[within]
+        weighted = inside * cost[within, None].astype(x.dtype)
+        gram = (weighted.T @ inside).astype(np.float64)
+        del inside
+        new = np.linalg.solve(penalty + gram, weighted.T @ y[within])
+        del weighted
         step, found = 1.0, loss(new)
         while found >= best and step > 1e-3:
             step /= 2
@@ -200,8 +204,8 @@ class Model:
 
     def scores_of(self, vocabulary: list[bytes]) -> np.ndarray:
         parts = [np.zeros(0)]
-        for first in range(0, len(vocabulary), 16_384):
-            part = vocabulary[first : first + 16_384]
+        for first in range(0, len(vocabulary), 4096):
+            part = vocabulary[first : first + 4096]
             parts.append(self.word_scores(*_laid_out(part), len(part)))
         return np.concatenate(parts)
 
@@ -291,12 +295,15 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
     negative_features = kernel.features(negatives)
     for _ in range(ROUNDS):
         chosen, times = np.unique([place[w] for w in witness], return_counts=True)
-        x = np.concatenate([pool_features[chosen], negative_features])
+        x = np.ones((len(chosen) + len(negatives), len(weights)), np.float32)
+        x[: len(chosen), :-1] = pool_features[chosen]
+        x[len(chosen) :, :-1] = negative_features
         y = np.concatenate([np.ones(len(chosen)), -np.ones(len(negatives))])
         # A word counts by the documents that it speaks for, both kinds of documents alike.
         spoken = np.array([clean[w] for w in negatives]) * (len(bags) / n_clean)
         cost = MARGIN_COST * np.concatenate([times, spoken])
         weights = _fit_margin(x, y, cost, weights)
+        del x
         scores = pool_features @ weights[:-1]
         witness = [max(bag, key=lambda w: (scores[place[w]], w)) for bag in bags]
         model = Model(kernel.per_subsequence(weights[:-1]), float(weights[-1]))
@@ -305,7 +312,9 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
         if fresh:
             negatives += fresh
             negative_features = np.concatenate([negative_features, kernel.features(fresh)])
-    margins = np.concatenate([model.margins(c) for c in chunks(pa.array(texts, pa.binary()))])
+    # Small chunks: the driver holds several numbers for each byte of one.
+    parts = chunks(pa.array(texts, pa.binary()), 1 << 18)
+    margins = np.concatenate([model.margins(c) for c in parts])
     model.calibrate(margins, toxic)
     return model
 
