@@ -51,7 +51,7 @@ def split_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_k
     rows = dimension.toDF(*(f"_d{i}" for i in range(len(dimension.columns))))
     key, other = f"_f{fact.columns.index(fact_key)}", f"_d{dimension.columns.index(dimension_key)}"
 
-    frequent = store(_frequent_keys(facts.select(key).dropna(), key), "frequent_keys")
+    frequent = store(frequent_keys(facts.select(key).dropna(), key), "frequent_keys")
     per_key = rows.join(F.broadcast(frequent), rows[other] == frequent["key"])  # HEAVY rows at most
     many = per_key.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > ROWS_PER_KEY)
     hot = store(frequent.join(many, "key", "left_anti"), "hot_keys")
@@ -65,7 +65,7 @@ def split_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_k
     return still.unionByName(rare).toDF(*fact.columns, *dimension.columns)
 
 
-def _frequent_keys(keys: DataFrame, key: str) -> DataFrame:
+def frequent_keys(keys: DataFrame, key: str) -> DataFrame:
     """The keys (``key``) that a sketch gives a ``HEAVY``-th of the rows or more; it never gives too few."""
     top = keys.agg(F.expr(f"approx_top_k({key}, {HEAVY}, {COUNTERS})").alias("top"), F.count("*").alias("rows"))
     top = top.select("rows", F.explode("top").alias("top")).where(F.col("top.count") * HEAVY >= F.col("rows"))

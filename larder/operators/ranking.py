@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import as_column
+from larder.operators.joins import frequent_keys
+from larder.operators.shape import partitions_for
 from larder.sources.scratch import store
 
 WINDOW_ROWS = 2_000_000  # larger groups are split over several tasks
@@ -56,6 +58,28 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return top_n_per_group(df, keys, order, 1, "_place").drop("_place")
 
 
+def keep_one_of_rare(
+    df: DataFrame, key: str, order: Sequence[Column], partitions: int | None = None
+) -> DataFrame:
+    """``keep_one`` on one key that seldom repeats: rows are dealt by key first and sorted once.
+
+    Sorting wide rows before the shuffle, as the group limit does, then drops next to nothing
+    and needs memory for all rows of a task.  Here the number of partitions follows the size of
+    the input.  Frequent keys, proposed by a sketch, and NULL keep the group limit, so no task
+    gathers more than a small share of the rows; which keys these are affects the plan only.
+    The frame is read three times: give a stored one.
+    """
+    partitions = partitions or partitions_for(df)
+    column = as_column(key)
+    found = frequent_keys(df.select(column.alias("_key")).dropna(), "_key").select(F.col("key").alias("_hot"))
+    hot = store(found, "frequent_keys")
+    known = df.where(column.isNotNull())
+    rare = known.join(F.broadcast(hot), column == F.col("_hot"), "left_anti").repartition(partitions, column)
+    often = known.join(F.broadcast(hot), column == F.col("_hot"), "left_semi")
+    often = often.unionByName(df.where(column.isNull()))
+    return keep_one(rare, [key], order).unionByName(keep_one(often, [key], order))
+
+
 def rank_in_group(
     df: DataFrame,
     keys: Sequence[str],

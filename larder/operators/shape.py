@@ -73,6 +73,17 @@ def with_null_column(df: DataFrame, name: str, kind) -> DataFrame:
     return df.withColumn(name, typed_null(kind))
 
 
+#: Bytes of stored input for each partition of a shuffle of wide rows; in memory it is some 25 times as much.
+PART_BYTES, MOST_PARTS = 4 << 20, 10_000
+
+
+def partitions_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Partitions for a shuffle of ``df``, in proportion to the files it is read from."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // part_bytes)), MOST_PARTS)
+
+
 def explode_items(
     df: DataFrame,
     source: str,

@@ -15,7 +15,13 @@ from larder.operators.joins import join_listed_dimension, keep_matched, match_ra
 from larder.operators.ordering import top_k
 from larder.operators.predicates import all_of, at_least_or_null, one_of, within_or_null
 from larder.operators.quality import Rule, apply_rules, rule_funnel
-from larder.operators.ranking import keep_one, ordering, rank_in_group, total_order
+from larder.operators.ranking import (
+    keep_one,
+    keep_one_of_rare,
+    ordering,
+    rank_in_group,
+    total_order,
+)
 from larder.operators.shape import (
     drop_if_present,
     explode_items,
@@ -70,7 +76,7 @@ def clean_products(bronze: DataFrame) -> DataFrame:
     Among valid versions the first by product name, then by every other column, stays.
     """
     valid = apply_rules(rename(bronze, PRODUCT_RENAMES), product_rules())
-    single = keep_one(valid, ["code"], total_order(valid, "product_name"))
+    single = keep_one_of_rare(valid, "code", total_order(valid, "product_name"))
     return replace_columns(
         single,
         {

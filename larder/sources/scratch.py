@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_AUTO_BUCKETS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 _local_roots: dict[str, str] = {}
 
 
@@ -57,3 +58,23 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """``store`` in ``buckets`` by the hash of ``column``; grouping by it later needs no shuffle.
+
+    Rows that are dealt by ``column`` to as many partitions already, or read from as many such
+    buckets, give one file each; so a bucketed source is read bucket by bucket.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{path}'")
+    before = spark.conf.get(_AUTO_BUCKETS)
+    spark.conf.set(_AUTO_BUCKETS, "false")
+    try:
+        writer = df.write.format("parquet").option("compression", "zstd")
+        writer.bucketBy(buckets, column).saveAsTable(f"{name}.rows")
+    finally:
+        spark.conf.set(_AUTO_BUCKETS, before)
+    return spark.table(f"{name}.rows")

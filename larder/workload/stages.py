@@ -1,7 +1,9 @@
 """The pipeline's stored stages over the test tables.
 
 Bronze, silver and gold are each written once per application, from the stage before,
-and read by every query that starts there, as a deployed pipeline does.
+and read by every query that starts there, as a deployed pipeline does.  Products and
+enriched rows are bucketed by code: the shuffle that removes duplicates is the last one that
+wide rows go through.
 """
 
 from __future__ import annotations
@@ -11,26 +13,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators import shape
+from larder.operators.shape import partitions_for
 from larder.plans import bronze, gold, silver
 from larder.schemas import PRODUCT_SCHEMA
-from larder.sources.scratch import store
+from larder.sources import lake
+from larder.sources.scratch import store, store_bucketed
 from larder.workload.inputs import INGEST_DATE, raw_countries, raw_measures, raw_products
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _once(
+    spark: SparkSession,
+    sf_dir: str,
+    stage: str,
+    build: Callable[[], DataFrame],
+    keep: Callable[[DataFrame, str], DataFrame] = store,
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, stage)
     if key not in _stored:
-        _stored[key] = store(build(), stage)
+        _stored[key] = keep(build(), stage)
     return _stored[key]
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rebalanced into even files, as the listings come out of joins."""
     return _once(
         spark, sf_dir, "bronze_products",
-        lambda: bronze.bronze_products(raw_products(spark, sf_dir), INGEST_DATE).hint("rebalance"),
+        lambda: bronze.bronze_products(raw_products(spark, sf_dir), INGEST_DATE),
     )
 
 
@@ -41,6 +50,12 @@ def bronze_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_bronze(spark: SparkSession, sf_dir: str, products: str, countries: str) -> None:
+    """Both bronze sources, as the ingest jobs write them: a date's own folder needs no sort by date."""
+    lake.write_date(bronze.bronze_products(raw_products(spark, sf_dir), INGEST_DATE), products, INGEST_DATE)
+    lake.write_date(bronze.bronze_countries(raw_countries(spark, sf_dir), INGEST_DATE), countries, INGEST_DATE)
+
+
 def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed codes, grades and measures straight from lineitem; not stored."""
     raw = raw_measures(spark, sf_dir)
@@ -49,8 +64,10 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = bronze_products(spark, sf_dir)
     return _once(
-        spark, sf_dir, "products_clean", lambda: silver.clean_products(bronze_products(spark, sf_dir))
+        spark, sf_dir, "products_clean", lambda: silver.clean_products(raw),
+        lambda df, stage: store_bucketed(df, stage, "code", partitions_for(raw)),
     )
 
 
@@ -61,9 +78,11 @@ def clean_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = bronze_products(spark, sf_dir)
     return _once(
         spark, sf_dir, "products_enriched",
         lambda: silver.enrich(clean_products(spark, sf_dir), clean_countries(spark, sf_dir)),
+        lambda df, stage: store_bucketed(df, stage, "code", partitions_for(raw)),
     )
 
 
