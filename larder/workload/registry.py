@@ -294,10 +294,14 @@ def clustered_mart_lookup(spark, sf_dir):
 )
 def mart_contract_check(spark, sf_dir):
     """The four marts, one that lacks a column and one whose keys repeat."""
-    enriched = stages.enriched(spark, sf_dir)
-    marts = {name: build(enriched) for name, build in gold.mart_builders().items()}
     sugar, features = "dm_sugar_by_category", "dm_ml_nutriscore_prediction"
     stored = stages.feature_mart(spark, sf_dir)
+    marts = {
+        sugar: stages.sugar_mart(spark, sf_dir),
+        "dm_nutriscore_by_country": stages.grade_mart(spark, sf_dir),
+        "dm_additives_analysis": stages.additive_mart(spark, sf_dir),
+        features: stored,
+    }
     broken = {
         "without a column": stages.sugar_mart(spark, sf_dir).drop("product_name"),
         "written twice": stored.unionByName(stored),
