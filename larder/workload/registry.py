@@ -896,8 +896,7 @@ def union_row_counts(spark, sf_dir):
 def volume_gate(spark, sf_dir):
     """Products pass from scale factor 0.01 on; the 125 country records never reach 200."""
     products, countries = new_path(spark, "gate_products"), new_path(spark, "gate_countries")
-    lake.write_dated(stages.bronze_products(spark, sf_dir), products)
-    lake.write_dated(stages.bronze_countries(spark, sf_dir), countries)
+    stages.write_bronze(spark, sf_dir, products, countries)
     return bronze.check_volumes(
         spark, {"products": products, "countries": countries}, INGEST_DATE, sample_rows=50_000
     )
@@ -1165,8 +1164,7 @@ def silver_profiles(spark, sf_dir):
 )
 def publish_silver(spark, sf_dir):
     products, countries = new_path(spark, "silver_in_products"), new_path(spark, "silver_in_countries")
-    lake.write_dated(stages.bronze_products(spark, sf_dir), products)
-    lake.write_dated(stages.bronze_countries(spark, sf_dir), countries)
+    stages.write_bronze(spark, sf_dir, products, countries)
     target, database = new_path(spark, "silver"), _new_database(spark, "silver_tables")
     refined = silver.refine(spark, products, countries, target, database, INGEST_DATE)
     rows = refined.raise_on_error().results
