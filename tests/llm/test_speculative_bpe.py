@@ -103,3 +103,13 @@ def test_report_and_round_trip(edge_docs, no_docs, library):
 def test_other_kinds_of_file_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         speculative_bpe.Merges(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_words_merged_together_are_merged_as_one_by_one(ours):
+    rng = random.Random(5)
+    words = [bytes(rng.choice(b"aeinrst \xc3\xa9") for _ in range(rng.randint(1, 64))) for _ in range(2_000)]
+    words += [b"a" * n for n in (1, 2, 3, 7, 64)]
+    ids, bounds = ours.merge_all(words)
+    for word, first, last in zip(words, bounds, bounds[1:]):
+        assert ids[first:last].tolist() == ours.merge(word)
+    assert [len(part) for part in ours.merge_all([])] == [0, 1]
