@@ -23,6 +23,7 @@ computing kernels.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -193,6 +194,15 @@ class Model:
         self.table, self.bias = table, bias
         self.slope, self.offset = 2.0, 0.0
 
+    def __getstate__(self) -> dict:
+        used = np.flatnonzero(self.table)
+        return {**self.__dict__, "table": (used.astype(np.int32), self.table[used], len(self.table))}
+
+    def __setstate__(self, state: dict) -> None:
+        used, weights, size = state["table"]
+        self.__dict__.update(state, table=np.zeros(size, np.float32))
+        self.table[used] = weights
+
     def word_scores(self, letters: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
         total = np.zeros(n)
         for offsets in _PATTERNS:
@@ -312,7 +322,7 @@ def learn(texts: list[bytes], toxic: np.ndarray) -> Model | None:
         if fresh:
             negatives += fresh
             negative_features = np.concatenate([negative_features, kernel.features(fresh)])
-    # Small chunks: the driver holds several numbers for each byte of one.
+    # Small chunks: several numbers are held for each byte of one.
     parts = chunks(pa.array(texts, pa.binary()), 1 << 18)
     margins = np.concatenate([model.margins(c) for c in parts])
     model.calibrate(margins, toxic)
@@ -336,15 +346,25 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model | None:
         .join(F.broadcast(chosen), "doc_id")  # 2 * SAMPLE ids at most
         .groupBy("doc_id", "toxic")  # rows that repeat an id are learnt once, by their smallest text
         .agg(F.min(F.encode("text", "utf-8")).alias("raw"))
-        .collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
-    texts, toxic = [bytes(r["raw"]) for r in rows], np.array([r["toxic"] == 1 for r in rows], bool)
+    # One task learns from the chosen rows, so that the driver sees the model alone.
+    found = rows.repartition(1).mapInArrow(_learnt, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
+
+
+def _learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of rows (doc_id, toxic, raw), if there is one."""
+    rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+    rows.sort(key=lambda row: row[0])
+    texts, toxic = [row[2] for row in rows], np.array([row[1] == 1 for row in rows], bool)
     del rows
     model = learn(texts, toxic)
     del texts
-    release_memory()  # the driver goes on with the model alone
-    return model
+    if model is not None:
+        packed = pickle.dumps(model)
+        del model
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["model"])
+    release_memory()  # the worker stays alive for later stages
 
 
 def toxicity(model: Model | None) -> Column:

@@ -511,3 +511,17 @@ def test_language_edges(edge_docs, no_docs):
     assert len(found) == edge_docs.count()
     assert {r["lang_pred"] for r in found if r["doc_id"] in (4, 5, 6)} == {"und"}
     assert language.language_report(no_docs).collect() == []
+
+
+def test_the_driver_does_not_learn_toxicity(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("learnt in the driver")
+
+    rows = [(i, f"{'you vile grumblefrack' if i % 2 else 'a kind neighbour'} said word{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity, "learn", refuse)
+    model = toxicity.trained(docs, labels)
+    margins = model.scores_of([b"grumblefrack", b"neighbour"])
+    assert model.probability(margins)[0] > 0.5 > model.probability(margins)[1]
+    assert toxicity.trained(docs, labels.where("toxic = 1")) is None
