@@ -1,14 +1,14 @@
 """Quality rules: rule statistics of whole texts and an isolation forest over them.
 
 Every document gets its rule statistics in one pass over its whole text.  The base rules
-reject short texts and texts made of repeats.  An isolation forest, grown on a bounded
-sample of the statistics, gives each document the mean path length over random splits;
-short paths mark anomalies.  The share of anomalies to reject is calibrated on a bounded
-sample of rows with a quality label: the threshold is the one of best balanced accuracy
-among those that keep ``KEEP`` of the good rows.
+reject short texts and texts made of repeats.  An isolation forest gives each document the
+mean path length over random splits; short paths mark anomalies.  The share of anomalies to
+reject is calibrated on all rows with a quality label that pass the base rules: the threshold
+is the one of best balanced accuracy among those that keep ``KEEP`` of the good rows.
 
 * Null and empty texts have no words, fail the base rules and are not kept.
-* The sample is the rows with the smallest hash of doc_id and text, the same in reruns.
+* As the method has it, each tree is grown on ``TREE_ROWS`` rows; each tree draws its own from all
+  rows that pass the base rules: those of smallest hash with the tree's number, the same in reruns.
 * Without labelled rows of both kinds only the base rules reject.
 * Rows that repeat a doc_id and its text get the same result.
 """
@@ -19,15 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from larder.llm.nptext import Chunk, Hasher, chunks, mixed, sums, text_of, words
-from larder.llm.tables import bounded_sample, stored
+from larder.llm.tables import stored
+from larder.operators.ranking import top_n_per_group
 
-#: Most rows that the forest is grown on, most labelled rows of either kind for the threshold.
-FOREST_ROWS, LABELLED_ROWS = 20_000, 10_000
 TREES, TREE_ROWS, DEPTH = 200, 256, 10
 #: Share of labelled good rows that the threshold must keep.
 KEEP = 0.995
@@ -163,6 +162,13 @@ class Forest:
             self.trees.append(self._grow(rows[pick], rng))
         self.usual = float(_mean_path(min(TREE_ROWS, len(rows)))) or 1.0
 
+    @classmethod
+    def of(cls, trees: list[tuple[np.ndarray, ...]], rows: int) -> Forest:
+        """Trees that were grown on ``rows`` rows each."""
+        forest = cls.__new__(cls)
+        forest.trees, forest.usual = trees, float(_mean_path(rows)) or 1.0
+        return forest
+
     @staticmethod
     def _grow(rows: np.ndarray, rng) -> tuple[np.ndarray, ...]:
         feature, cut, child, length = [], [], [], []
@@ -214,51 +220,105 @@ def threshold(scores: np.ndarray, good: np.ndarray) -> float:
     return float(cuts[best])
 
 
-def _columns(rows: list) -> dict[str, np.ndarray]:
-    return {n: np.array([r[n] for r in rows], np.int64) for n in BASE + EXTRA}
-
-
 def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
 
 
-def fitted(measured: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
-    """The forest and its threshold, from bounded samples of the rows that pass the base rules."""
-    passed = measured.filter(~_base_failed())
+_TREE = "feature array<int>, cut array<double>, child array<int>, length array<double>, n int"
+
+
+def _grown(key: tuple, rows: pa.Table) -> pa.Table:
+    """The tree of the rows that one tree has drawn."""
+    # The order of a group's rows may differ between runs; that of their features does not.
+    points = features({n: rows[n].to_numpy() for n in BASE + EXTRA})
+    points = points[np.lexsort(points.T)]
+    tree = Forest._grow(points, np.random.default_rng([SEED, key[0].as_py()]))
+    names, types = ("feature", "cut", "child", "length"), (pa.int32(), pa.float64(), pa.int32(), pa.float64())
+    columns = {n: pa.array([part.tolist()], pa.list_(t)) for n, part, t in zip(names, tree, types, strict=True)}
+    return pa.table({**columns, "n": pa.array([len(points)], pa.int32())})
+
+
+def grown(passed: DataFrame) -> Forest | None:
+    """The forest of all rows of ``passed``, each tree grown in a task of its own rows."""
+    total, steps = passed.count(), 1 << 30
+    if not total:
+        return None
+    # Rows that come into question for a tree: about twice as many as it takes, or all.
+    low = steps if 2 * TREE_ROWS >= total else max(steps * 2 * TREE_ROWS // total, 1)
     keys = ["doc_id", *BASE]
-    sample = bounded_sample(passed, keys, FOREST_ROWS, passed.count()).collect()
-    if not sample:
-        return None, float("inf")
-    forest = Forest(features(_columns(sample)))
-    marked = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = passed.join(marked, "doc_id")
-    rows = []
-    for kind in (0, 1):
-        some = marked.filter(F.col("quality") == kind)
-        rows += bounded_sample(some, keys, LABELLED_ROWS, some.count()).collect()
-    if not rows:
-        return forest, float("inf")
-    good = np.array([r["quality"] for r in rows]) == 1
-    return forest, threshold(forest.score(features(_columns(rows))), good)
+    place = lambda tree: F.pmod(F.xxhash64("_row", tree), F.lit(steps))
+    trees = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: place(tree) < low)
+    drawn = passed.withColumn("_row", F.xxhash64(F.lit(SEED), *keys)).withColumn("tree", F.explode(trees))
+    drawn = top_n_per_group(drawn, ["tree"], [place(F.col("tree")), *map(F.col, keys)], TREE_ROWS, "_place")
+    found = drawn.select("tree", *BASE, *EXTRA).groupBy("tree").applyInArrow(_grown, _TREE).collect()
+    # The order in which trees arrive changes sums of path lengths in their last bits.
+    parts = sorted((r["feature"], r["cut"], r["child"], r["length"]) for r in found)
+    kinds = (np.int64, np.float64, np.int64, np.float64)
+    return Forest.of(
+        [tuple(np.array(p, kind) for p, kind in zip(tree, kinds, strict=True)) for tree in parts],
+        max(r["n"] for r in found),
+    )
 
 
-def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the base statistics, base_failed, kept, anomaly."""
-    measured = docs.select("doc_id", statistics().alias("m")).select("doc_id", "m.*")
-    measured = stored(measured, "statistics")
-    forest, cut = fitted(measured, labels)
+def threshold_of(scored: DataFrame) -> float:
+    """``threshold`` for all rows of ``scored`` (anomaly, quality), which no task gathers."""
+    counts = scored.groupBy("anomaly").agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")
+    )
+    placed = counts.repartitionByRange("anomaly").withColumn("_part", F.spark_partition_id())
+    placed = stored(placed, "labelled-scores")
+    totals = placed.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    if not totals["good"] or not totals["bad"]:
+        return float("inf")
+    parts = placed.groupBy("_part").agg(
+        F.sum("good").alias("g"), F.sum("bad").alias("b"), F.max("anomaly").alias("top")
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = parts.select(
+        "_part",
+        *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in ("g", "b")),
+        F.max("top").over(earlier).alias("top"),
+    )
+    inside = Window.partitionBy("_part").orderBy("anomaly")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    kept = (F.col("g") + F.coalesce(F.sum("good").over(before), F.lit(0))) / F.lit(totals["good"])
+    missed = (F.col("b") + F.coalesce(F.sum("bad").over(before), F.lit(0))) / F.lit(totals["bad"])
+    cuts = placed.join(F.broadcast(starts), "_part").select(
+        "anomaly", "bad", F.coalesce(F.lag("anomaly").over(inside), "top").alias("below"),
+        kept.alias("kept"), (1 - missed).alias("caught"),
+    )
+    cuts = cuts.filter((F.col("bad") > 0) & F.col("below").isNotNull() & (F.col("kept") >= KEEP))
+    best = cuts.orderBy((F.col("kept") + F.col("caught")).desc(), "anomaly").first()
+    if best is None:
+        return float("inf")
+    low, high = best["below"], best["anomaly"]
+    cut = low + (high - low) / 2
+    return cut if cut < high else low
+
 
+def _anomaly(forest: Forest | None) -> Column:
     @arrow_udf("double")
     def anomaly(*columns: pa.Array) -> pa.Array:
         values = dict(zip(BASE + EXTRA, (c.to_numpy(zero_copy_only=False) for c in columns), strict=True))
         rows = features(values)
         return pa.array(forest.score(rows) if forest else np.zeros(len(rows)))
 
-    scored = measured.withColumn("anomaly", anomaly(*[F.col(n) for n in BASE + EXTRA]))
+    return anomaly(*[F.col(n) for n in BASE + EXTRA])
+
+
+def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, the base statistics, base_failed, kept, anomaly."""
+    measured = docs.select("doc_id", statistics().alias("m")).select("doc_id", "m.*")
+    measured = stored(measured, "statistics")
     failed = _base_failed()
-    return scored.select(
+    passed = measured.filter(~failed)
+    forest, cut = grown(passed), float("inf")
+    if forest:
+        marked = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        cut = threshold_of(passed.join(marked, "doc_id").select(_anomaly(forest).alias("anomaly"), "quality"))
+    return measured.withColumn("anomaly", _anomaly(forest)).select(
         "doc_id",
         *BASE,
         failed.alias("base_failed"),

@@ -525,3 +525,23 @@ def test_the_driver_does_not_learn_toxicity(spark, monkeypatch):
     margins = model.scores_of([b"grumblefrack", b"neighbour"])
     assert model.probability(margins)[0] > 0.5 > model.probability(margins)[1]
     assert toxicity.trained(docs, labels.where("toxic = 1")) is None
+
+
+def test_threshold_of_all_labelled_rows_is_that_of_one_machine(spark):
+    rng = np.random.default_rng(7)
+    for kind in ((rng.random(25_000) < 0.9), np.ones(50, bool)):
+        scores = np.round(rng.random(len(kind)) * 0.4 + 0.4 * ~kind, 3)
+        rows = spark.createDataFrame(list(zip(scores.tolist(), kind.astype(int).tolist())), "anomaly double, quality int")
+        assert quality.threshold_of(rows.repartition(6)) == quality.threshold(scores, kind)
+
+
+def test_trees_draw_from_all_rows(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(quality.Forest, "of", lambda trees, n: drawn.append((len(trees), n)))
+    names = [*quality.BASE, *quality.EXTRA]
+    rows = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), *(F.pmod(F.xxhash64("id", F.lit(n)), F.lit(900)).alias(n) for n in names)
+    )
+    quality.grown(rows)
+    quality.grown(rows.limit(40).repartition(3))
+    assert drawn == [(quality.TREES, quality.TREE_ROWS), (quality.TREES, 40)]
