@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _AUTO_BUCKETS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+#: Files that a task of a bucketed write keeps open before it sorts its rows by bucket.
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 _local_roots: dict[str, str] = {}
 
 
@@ -64,17 +66,21 @@ def store_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> Data
     """``store`` in ``buckets`` by the hash of ``column``; grouping by it later needs no shuffle.
 
     Rows that are dealt by ``column`` to as many partitions already, or read from as many such
-    buckets, give one file each; so a bucketed source is read bucket by bucket.
+    buckets, give one file each; so a bucketed source is read bucket by bucket, and nothing is
+    sorted where a task meets few buckets.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{path}'")
-    before = spark.conf.get(_AUTO_BUCKETS)
-    spark.conf.set(_AUTO_BUCKETS, "false")
+    during = {_AUTO_BUCKETS: "false", _OPEN_FILES: "4"}
+    before = {option: spark.conf.get(option) for option in during}
+    for option, value in during.items():
+        spark.conf.set(option, value)
     try:
         writer = df.write.format("parquet").option("compression", "zstd")
         writer.bucketBy(buckets, column).saveAsTable(f"{name}.rows")
     finally:
-        spark.conf.set(_AUTO_BUCKETS, before)
+        for option, value in before.items():
+            spark.conf.set(option, value)
     return spark.table(f"{name}.rows")

@@ -677,7 +677,7 @@ def two_key_counts(spark, sf_dir):
     " from additive_frequency",
 )
 def token_frequency(spark, sf_dir):
-    return silver.additive_profile(stages.enriched(spark, sf_dir)).orderBy(*by("-occurrence", "additive"))
+    return silver.additive_profile(stages.listings(spark, sf_dir)).orderBy(*by("-occurrence", "additive"))
 
 
 @registered("grade_by_country", "select * from mart_grade")
@@ -792,7 +792,7 @@ def rank_overall(spark, sf_dir):
 
 @registered("additive_ranking", "select * from mart_additive")
 def additive_ranking(spark, sf_dir):
-    return gold.additive_mart(stages.enriched(spark, sf_dir)).orderBy("rank_overall")
+    return gold.additive_mart(stages.listings(spark, sf_dir)).orderBy("rank_overall")
 
 
 @registered(

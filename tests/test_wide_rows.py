@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larder.operators.ranking import keep_one, keep_one_of_rare, total_order
 from larder.operators.shape import PART_BYTES, partitions_for
 from larder.plans import gold, silver
-from larder.sources import lake
+from larder.sources import lake, scratch
 from larder.workload import registry, stages
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +77,24 @@ def test_sugar_rank_stores_narrow_rows(spark, monkeypatch):
     monkeypatch.setattr(silver, "rank_in_group", lambda df, *a, **k: ranked.append(df.columns) or rank(df, *a, **k))
     registry.sugar_rank_in_category(spark, SF)
     assert [len(columns) for columns in ranked] == [4]
+
+
+def test_additive_marts_do_not_store_the_enriched_rows(spark, monkeypatch):
+    monkeypatch.setattr(stages, "_stored", {})
+    ranked = registry.additive_ranking(spark, SF).collect()
+    assert ranked == stages.additive_mart(spark, SF).orderBy("rank_overall").collect()
+    assert "products_enriched" not in {stage for _, _, stage in stages._stored}
+    assert ranked == gold.additive_mart(stages.enriched(spark, SF)).orderBy("rank_overall").collect()
+
+
+def test_bucketed_writes_keep_few_files_open_instead_of_sorting(spark, monkeypatch):
+    seen, put = {}, type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: seen.setdefault(k, v) and put(self, k, v))
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option)
+    rows = spark.range(1_000, numPartitions=2).select(F.col("id").cast("string").alias("code"))
+    for buckets in (3, 16):  # fewer than the open files, and more
+        stored = scratch.store_bucketed(rows, "few", "code", buckets)
+        assert sorted(stored.collect()) == sorted(rows.collect())
+        assert "Exchange" not in tree(stored.groupBy("code").count())
+    assert int(seen[option]) > 3 and spark.conf.get(option) == before
